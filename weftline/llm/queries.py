@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import best_fit, html_extract, license_scan, quality_rules, token_counts, url_filters
+from weftline.llm import best_fit, decontaminate, html_extract, license_scan, line_dedup, quality_rules, token_counts, url_filters
 from weftline.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.html_extraction(table(spark, sf_dir, "pages"))
 
@@ -31,12 +35,26 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op2_quality_rules, op4_html_extraction, op5_license_scans, op6_best_fit_packing, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_url_filters,
+        op2_quality_rules,
+        op3_benchmark_decontamination,
+        op4_html_extraction,
+        op5_license_scans,
+        op6_best_fit_packing,
+        op8_line_dedup,
+        op10_token_counts,
+    )
 }
 
 _HOST = r"coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
