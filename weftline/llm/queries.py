@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import best_fit, decontaminate, html_extract, license_scan, line_dedup, quality_rules, token_counts, url_filters
+from weftline.llm import best_fit, decontaminate, html_extract, license_scan, line_dedup, ngram_join, quality_rules, sharding, token_counts, url_filters
 from weftline.llm.common import table
 
 
@@ -35,10 +36,26 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+#: Arrivals that the sharding query makes of the documents, as a feed would bring them.
+ARRIVALS = 21
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it reads from the compacted store."""
+    docs = table(spark, sf_dir, "documents")
+    arrival = F.coalesce(F.pmod("doc_id", F.lit(ARRIVALS)), F.lit(0))
+    back = sharding.sharded(docs.withColumn("arrival", arrival), F.col("arrival")).read()
+    return back.select("doc_id", "arrival", "lang", "source", F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_md5"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents")).drop("node")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -52,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_html_extraction,
         op5_license_scans,
         op6_best_fit_packing,
+        op7_sharding,
         op8_line_dedup,
+        op9_ngram_jaccard_join,
         op10_token_counts,
     )
 }
@@ -76,4 +95,7 @@ SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
 FROM r""",
+    "op7_sharding": f"""
+SELECT doc_id, coalesce(doc_id % {ARRIVALS}, 0) AS arrival, lang, source, strlen(text) AS n_bytes, md5(text) AS text_md5
+FROM documents""",
 }
