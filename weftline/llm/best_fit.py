@@ -6,7 +6,8 @@ order; then the local search moves one document, or exchanges one for one or two
 that increases the sum of squared fills, until a pass finds nothing. What lies in bins that stay underfull is dealt again into
 fewer groups and repacked, so the waste of all groups shrinks to that of one; full bins are final.
 
-Memory: a group holds GROUP lengths at most (about 100 bytes each), whatever the table's size. Texts are never shuffled, only
+Memory: a group holds about GROUP lengths in the first round and 16 times as many at most later (100 bytes each), whatever the
+table's size. Texts are never shuffled, only
 piece lengths. A group's packing depends on its rows alone, so a lost executor's tasks run again to the same end.
 
 Defined results. Null text is empty: its ids are the end id alone. Repeated rows and repeated or null doc_ids are pieces of
@@ -176,6 +177,7 @@ def packed(parts: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFram
     numbered = stored(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     whole = numbered.where(F.col("length") == limit).select(*columns, (-F.col("_row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     n_rest = numbered.where(F.col("length") < limit).count()
+    most = 16 * group
     rest, level, result = numbered.where(F.col("length") < limit), 0, whole
     while n_rest:
         n_groups = max(1, -(-n_rest // group))
@@ -188,11 +190,11 @@ def packed(parts: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFram
             break
         rest = done.where(F.col("_fill") < int(FULL * limit))
         left = rest.count()
-        # A round that settles little would go on for long: what is left then ends here, as it lies.
-        if left > 0.9 * n_rest or level >= 100:
+        # Later rounds take more bins together. Where the largest groups settle little, no more is to be gained.
+        if left > 0.9 * n_rest and group >= most:
             result = result.unionByName(rest.select(*columns, "sequence_id", "offset"))
             break
-        n_rest, level = left, level + 1
+        n_rest, level, group = left, level + 1, min(2 * group, most)
     return result
 
 
