@@ -122,9 +122,9 @@ def blocks(page: str) -> list[Block]:
         if name == "br":
             current.parts.append(" ")
         elif name == "a":
-            links += not attrs.rstrip().endswith("/")
+            links += 1
         elif name not in INLINE:
-            if name not in VOID and not attrs.rstrip().endswith("/"):
+            if name not in VOID:
                 marks = _marks(attrs)
                 f = name in FURNITURE or bool(marks & FURNITURE_MARKS) or bool(attrs and HIDDEN.search(attrs))
                 t = name in MAIN or (bool(marks & MAIN_MARKS) and not f)
@@ -158,6 +158,9 @@ SAMPLE = (
     (0, 2, 0.0, 3, 1.0, 2, 1.0, 0, 0), (0, 4, 0.0, 2, 1.0, 5, 0.9, 0, 0), (0, 7, 0.0, 30, 0.8, 0, 0.0, 0, 0), (0, 30, 0.8, 2, 1.0, 7, 0.0, 0, 0),
     (0, 1, 1.0, 1, 1.0, 60, 0.0, 0, 0), (0, 3, 1.0, 2, 1.0, 80, 0.0, 0, 0), (0, 2, 0.9, 50, 0.0, 45, 0.0, 0, 0), (0, 6, 0.8, 2, 1.0, 30, 0.0, 0, 0),
     (0, 4, 1.0, 0, 0.0, 25, 0.0, 0, 0), (1, 30, 0.0, 40, 0.0, 2, 1.0, 0, 0), (1, 22, 0.0, 10, 0.0, 5, 0.0, 0, 0), (1, 60, 0.1, 3, 1.0, 2, 1.0, 0, 0),
+    (1, 7, 1.0, 0, 0.0, 30, 0.0, 0, 1), (1, 9, 1.0, 12, 0.0, 45, 0.0, 0, 1), (1, 5, 1.0, 40, 0.0, 60, 0.0, 0, 1), (1, 8, 0.6, 50, 0.0, 20, 0.0, 0, 1),
+    (1, 6, 1.0, 60, 0.0, 3, 0.0, 0, 1), (1, 4, 1.0, 2, 0.0, 4, 0.0, 0, 1), (1, 7, 1.0, 1, 1.0, 30, 0.0, 0, 1), (1, 3, 0.0, 4, 1.0, 2, 0.5, 0, 1),
+    (1, 4, 0.0, 5, 1.0, 3, 0.0, 0, 1), (1, 2, 0.5, 4, 0.0, 2, 0.0, 0, 1), (1, 1, 0.0, 1, 1.0, 20, 0.0, 0, 1), (1, 2, 1.0, 5, 0.0, 3, 0.0, 0, 1),
     (0, 2, 1.0, 1, 1.0, 2, 1.0, 0, 1), (0, 1, 1.0, 2, 1.0, 1, 1.0, 0, 1), (0, 1, 1.0, 2, 1.0, 40, 0.0, 0, 1), (0, 3, 1.0, 3, 1.0, 3, 1.0, 0, 1),
     (0, 3, 0.0, 6, 0.6, 4, 0.0, 0, 0), (0, 20, 0.7, 50, 0.0, 15, 0.6, 0, 0), (0, 6, 0.5, 70, 0.0, 3, 1.0, 0, 0), (0, 1, 0.0, 2, 0.9, 1, 1.0, 0, 0),
 )
