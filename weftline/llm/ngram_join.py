@@ -5,12 +5,14 @@
 2. Orders. A fixed-size sketch counts shingles over all documents. Three global orders of shingles all put those with rare
    counts first and differ in how they break ties. If two sets overlap enough, then under each order they share a shingle
    among the first n - ceil(t n) + 1 (n: size, t: threshold).
-3. Candidates. Under the first order the prefixes are grouped by shingle. In each group every node meets one hub, not all the others;
-   a pair stays if the sizes allow the threshold and the two prefixes of the second and of the third order meet as well.
+3. Candidates. Under the first order the prefixes are grouped by shingle and class of sizes. In each group every node meets a few hubs,
+   not all the others; a pair stays if the sizes allow the threshold and the two prefixes of the second and of the third order
+   meet as well.
 4. Verification counts the overlap of the whole sets. Links are joined to components.
-5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then, mostly dissimilar nodes that
-   share a rare shingle, is compared exactly in blocks of BLOCK nodes, only between different components. So no link between
-   different components is lost, no pairs are emitted within a group of copies, and no task gets more than two blocks.
+5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then is compared exactly, only between
+   different components: small groups, mostly dissimilar nodes that share a rare shingle, by the same filters as before; large ones in
+   blocks of BLOCK nodes, whose whole sets are searched and which give back only links that join components. So no link between different
+   components is lost, no pairs are emitted within a group of copies, and no task gets more than two blocks.
 
 Sizes: the sketch is SLOTS bytes on each worker. Nodes and pairs in question are broadcast only if counted to be under
 BROADCAST_BYTES, else shuffled.
@@ -41,6 +43,10 @@ SLOT_BITS = 22
 SLICES = 16
 MERGE = 64
 ROUNDS = 3
+#: Hubs of a group in each round.
+HUBS = 4
+#: Groups up to this size are compared as one row in the end, larger ones in blocks of BLOCK nodes.
+SMALL = 64
 BLOCK = 1000
 
 
@@ -280,63 +286,109 @@ def _block_links(rows: pd.DataFrame, i: int, j: int, rule: Rule) -> list[tuple[i
 
 
 def _leftover_links(left: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links within the groups of left (t, node, comp), compared in blocks."""
-    sizes = left.groupBy("t").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = left.join(sizes, "t").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """Links within the groups of left (g, node, comp), compared in blocks."""
+    sizes = left.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = left.join(sizes, "g").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("_other", other).withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")})
-    rows = dealt.join(sets, "node").select("t", "i", "j", "node", "comp", "block", "s")
+    rows = dealt.join(sets, "node").select("g", "i", "j", "node", "comp", "block", "s")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("node").sort_values("node", ignore_index=True)
         return pd.DataFrame(_block_links(rows, int(key[1]), int(key[2]), rule), columns=["a", "b"]).astype("int64")
 
-    return rows.groupBy("t", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    return rows.groupBy("g", "i", "j").applyInPandas(run, "a long, b long").distinct()
+
+
+def _small_candidates(left: DataFrame, prefix: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) within the groups of left, of SMALL nodes at most, that are in different components and pass the sizes and the
+    second and third order. A group is one row of node sketches."""
+    nodes = _hint(left.select("node").distinct(), 24)
+    some = prefix.join(nodes, "node").select("node", "n", "p2", "p3").dropDuplicates(["node"])
+    groups = left.select("g", "node", "comp").join(some, "node").groupBy("g").agg(F.collect_list(F.struct("node", "comp", "n", "p2", "p3")).alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = set()
+            for rows in batch["rows"]:
+                rows = sorted(((r["node"], r["comp"], r["n"], frozenset(r["p2"]), frozenset(r["p3"])) for r in rows.as_py()), key=lambda r: r[0])
+                for k, x in enumerate(rows):
+                    for y in rows[k + 1 :]:
+                        if x[1] != y[1] and 100 * min(x[2], y[2]) >= rule.percent * max(x[2], y[2]) and not x[3].isdisjoint(y[3]) and not x[4].isdisjoint(y[4]):
+                            out.add((x[0], y[0]))
+            a, b = zip(*sorted(out), strict=True) if out else ((), ())
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return groups.select("rows").mapInArrow(run, "a long, b long").distinct()
+
+
+def _sets_of(docs: DataFrame, of_doc: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """node, s: the whole sets of nodes, made again from one document of each."""
+    first = of_doc.join(_hint(nodes, 24), "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("d")).select("node", "d.doc_id", "d.key")
+    d, f = keyed(docs).alias("d"), _hint(stored(first, "chosen_rows"), 48).alias("f")
+    text = d.join(f, (F.col("d.key") == F.col("f.key")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("node", "text")
+    return stored(full_sets(text, rule).dropDuplicates(["node"]), "sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
 def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: Rule, rounds: int = ROUNDS) -> DataFrame:
     """node, comp of each node that is linked; comp is the smallest node of its component."""
-    prefix = stored(prefixes(docs, rule, level), "prefixes")
-    token = prefix.select(F.explode("p1").alias("t"), "node")
-    groups = token.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("t")
-    members = stored(token.join(groups, "t").distinct(), "members")
     spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
+    prefix = stored(prefixes(docs, rule, level), "prefixes")
+    token = prefix.select(F.explode("p1").alias("t"), "node", "n")
+    shared = token.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("t")
+    # Sizes that differ too much can't link. A node is in the group of its class of sizes and in the next one's, so two that can link
+    # meet in one of them. The classes are a little wider than the threshold, against rounding.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / float(-np.log((rule.percent - 1) / 100))).cast("int")
+    slotted = token.join(shared, "t").distinct().withColumn("c", size_class).select("t", "node", "c", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("slot"))
+    slotted = stored(slotted.select(F.xxhash64("t", "slot").alias("g"), "node", (F.col("c") == F.col("slot")).alias("own")), "members")
+    real = slotted.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("own").alias("own")).where("lo <> hi AND own").select("g")
+    members = stored(slotted.select("g", "node").join(real, "g"), "groups")
     comp = spark.createDataFrame([], "node long, comp long")
     tried = spark.createDataFrame([], "a long, b long")
-    # A copied node may be in prefix several times: its rows are equal, any one will do.
-    for k in range(rounds + 1):
-        known = members.join(comp, "node", "left").select("t", "node", F.coalesce("comp", "node").alias("comp"))
-        open_ = known.groupBy("t").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")).where("c1 <> c2")
-        if k:
-            open_ = open_.where("size > 2")
-        left = stored(known.join(open_.select("t"), "t"), "open_groups")
-        if left.isEmpty():
-            break
-        last = k == rounds
-        if not last:
-            hub = left.groupBy("t").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "comp")).alias("hub"))
-            met = left.join(hub, "t").where("hub.comp <> comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-            pairs = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
-            # The other two orders, and the sizes.
-            some = _hint(pairs, 24)
-            x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"))
-            y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"))
-            met = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
-            chosen = stored(met.select("a", "b").distinct(), "candidates")
-            nodes = chosen.select(F.col("a").alias("node")).unionByName(chosen.select(F.col("b").alias("node"))).distinct()
-            tried = tried.unionByName(pairs)
-        else:
-            nodes = left.select("node").distinct()
-        first = of_doc.join(_hint(nodes, 24), "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("d")).select("node", "d.doc_id", "d.key")
-        first = stored(first, "chosen_rows")
-        d, f = keyed(docs).alias("d"), _hint(first, 48).alias("f")
-        text = d.join(f, (F.col("d.key") == F.col("f.key")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("node", "text")
-        sets = stored(full_sets(text, rule).dropDuplicates(["node"]), "sets")
-        new = stored(_leftover_links(left, sets, rule) if last else _overlaps(sets, chosen, rule), "links")
+
+    def merged(new: DataFrame) -> DataFrame:
         # Components so far are stars, so old links need not be carried along.
-        links = comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(new)
-        comp = stored(components(links), "components")
+        return stored(components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(new)), "components")
+
+    def open_groups(least: int) -> DataFrame:
+        """g, node, comp, size of the groups that are in several components."""
+        known = members.join(comp, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
+        still = known.groupBy("g").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")).where(f"c1 <> c2 AND size >= {least}")
+        return stored(known.join(still.select("g", "size"), "g"), "open_groups")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return stored(_overlaps(_sets_of(docs, of_doc, _ends(pairs), rule), pairs, rule), "links")
+
+    for k in range(rounds):
+        # A group of two has met already.
+        left = open_groups(3 if k else 2)
+        if left.isEmpty():
+            return comp
+        part = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(HUBS))
+        hub = left.groupBy("g", part.alias("part")).agg(F.min(F.struct(F.xxhash64("node", F.lit(-1 - k)).alias("h"), "node", "comp")).alias("hub"))
+        met = left.join(hub, "g").where("hub.comp <> comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        pairs = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
+        # The sizes, and the other two orders.
+        some = _hint(pairs, 24)
+        x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"))
+        y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"))
+        both = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
+        chosen = stored(both.select("a", "b").distinct(), "candidates")
+        tried = tried.unionByName(pairs)
+        comp = merged(verified(chosen))
+    left = open_groups(3 if rounds else 2)
+    small, large = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
+    chosen = stored(_small_candidates(small, prefix, rule).join(tried, ["a", "b"], "left_anti"), "candidates")
+    if not chosen.isEmpty():
+        comp = merged(verified(chosen))
+    if not large.isEmpty():
+        left = open_groups(SMALL + 1)
+        sets = _sets_of(docs, of_doc, left.select("node").distinct(), rule)
+        comp = merged(stored(_leftover_links(left, sets, rule), "links"))
     return comp
 
 
