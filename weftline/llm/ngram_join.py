@@ -39,7 +39,9 @@ from weftline.llm.common import BROADCAST_BYTES, stored
 from weftline.llm.components import components
 
 U = np.uint64
-SLOT_BITS = 22
+SLOT_BITS = 24
+#: Classes of shingles that are counted for each node: sets whose counts differ too much can't overlap enough.
+BINS = 32
 SLICES = 16
 MERGE = 64
 ROUNDS = 3
@@ -137,14 +139,16 @@ def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, dtype=np.uint32)
+        counts = np.zeros(1 << SLOT_BITS, dtype=np.uint8)  # of this task; they stop at 255
         for batch in batches:
             nodes, sizes = [], []
             for text in batch["text"]:
                 s = shingles(text.as_py(), rule)
                 nodes.append(node_of(s) if len(s) else None)
                 sizes.append(len(s))
-                np.add.at(counts, _slot(s), 1)
+                slot = _slot(s)
+                had = counts[slot]
+                counts[slot] = had + (had < 255)
             none = [None] * len(nodes)
             yield pa.record_batch([pa.array([0] * len(nodes), kinds[0]), batch["doc_id"], batch["key"], *(pa.array(c, t) for c, t in zip((nodes, sizes, none, none, none), kinds[3:], strict=True))], names)
         part = TaskContext.get().partitionId()
@@ -166,7 +170,8 @@ def rarity(partial: DataFrame) -> np.ndarray:
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(per, dtype=np.uint64)
         for c in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(c), dtype=np.uint32)
+            c = zlib.decompress(c)
+            total += np.frombuffer(c, dtype=np.uint8 if len(c) == per else np.uint32)
         total = np.minimum(total, U(2**32 - 1)).astype(np.uint32)
         return pd.DataFrame({"part": [int(key[0])], "slice": [int(key[1])], "counts": [zlib.compress(total.tobytes(), 1)]})
 
@@ -184,9 +189,10 @@ def rarity(partial: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
-    """node, n, and p1, p2, p3: the prefixes under the three orders. A task gives a node once, as far as it remembers."""
+    """node, n, hist (shingles in each of BINS classes, to 255), and p1, p2, p3: the prefixes under the three orders. A task gives a
+    node once, as far as it remembers."""
     shared = docs.sparkSession.sparkContext.broadcast(zlib.compress(level.tobytes(), 1))
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
@@ -210,11 +216,12 @@ def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
                     tie = mix(s ^ U(salt))
                     at = np.argpartition(rare | (tie >> U(8)), p - 1)[:p] if p < len(s) else np.arange(len(s))
                     first.append(s[at].view(np.int64) if not salt else tie[at].view(np.int64).astype(np.int32))
-                rows.append((node, len(s), *first))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["node", "n", "p1", "p2", "p3"])
+                hist = np.minimum(np.bincount((s & U(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+                rows.append((node, len(s), hist.tobytes(), *first))
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["node", "n", "hist", "p1", "p2", "p3"])
 
-    return docs.select("text").mapInArrow(run, "node long, n long, p1 array<long>, p2 array<int>, p3 array<int>")
+    return docs.select("text").mapInArrow(run, "node long, n long, hist binary, p1 array<long>, p2 array<int>, p3 array<int>")
 
 
 def full_sets(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -235,10 +242,10 @@ def _near(a: Column, b: Column, rule: Rule) -> Column:
 
 
 def _overlaps(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) that link; both sets are brought together for each pair."""
+    """The pairs (a, b) that link. b's set goes to a's place for each pair, a's goes there once."""
     pairs = pairs.select("a", "b")
-    left = sets.join(_hint(pairs, 24), sets["node"] == pairs["a"]).select("a", "b", F.col("s").alias("sa"))
-    right = sets.join(_hint(pairs, 24), sets["node"] == pairs["b"]).select("a", "b", F.col("s").alias("sb"))
+    left = sets.join(_hint(pairs, 24), sets["node"] == pairs["b"]).select("a", "b", F.col("s").alias("sb"))
+    right = sets.join(_hint(pairs.select("a").distinct(), 16), sets["node"] == F.col("a")).select("a", F.col("s").alias("sa"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +255,7 @@ def _overlaps(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                 keep.append(rule.links(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return left.join(right, ["a", "b"]).mapInArrow(run, "a long, b long")
+    return left.join(right, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def _block_links(rows: pd.DataFrame, i: int, j: int, rule: Rule) -> list[tuple[int, int]]:
@@ -301,21 +308,26 @@ def _leftover_links(left: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _small_candidates(left: DataFrame, prefix: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) within the groups of left, of SMALL nodes at most, that are in different components and pass the sizes and the
-    second and third order. A group is one row of node sketches."""
+    """Pairs (a, b) within the groups of left, of SMALL nodes at most, that are in different components and that sizes and counts by
+    class allow. A group is one row of small sketches."""
     nodes = _hint(left.select("node").distinct(), 24)
-    some = prefix.join(nodes, "node").select("node", "n", "p2", "p3").dropDuplicates(["node"])
-    groups = left.select("g", "node", "comp").join(some, "node").groupBy("g").agg(F.collect_list(F.struct("node", "comp", "n", "p2", "p3")).alias("rows"))
+    some = prefix.join(nodes, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("hist").alias("hist"))
+    groups = left.select("g", "node", "comp").join(some, "node").groupBy("g").agg(F.collect_list(F.struct("node", "comp", "n", "hist")).alias("rows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = set()
             for rows in batch["rows"]:
-                rows = sorted(((r["node"], r["comp"], r["n"], frozenset(r["p2"]), frozenset(r["p3"])) for r in rows.as_py()), key=lambda r: r[0])
-                for k, x in enumerate(rows):
-                    for y in rows[k + 1 :]:
-                        if x[1] != y[1] and 100 * min(x[2], y[2]) >= rule.percent * max(x[2], y[2]) and not x[3].isdisjoint(y[3]) and not x[4].isdisjoint(y[4]):
-                            out.add((x[0], y[0]))
+                rows = sorted(((r["node"], r["comp"], r["n"], r["hist"]) for r in rows.as_py()), key=lambda r: r[0])
+                node, comp, n = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(3))
+                hist = np.array([np.frombuffer(r[3], dtype=np.uint8) for r in rows], dtype=np.int64)
+                for k in range(len(rows) - 1):
+                    # The sets differ in at least as many shingles as their counts do.
+                    apart = np.abs(hist[k + 1 :] - hist[k]).sum(axis=1) * (100 + rule.percent)
+                    both = n[k + 1 :] + n[k]
+                    near = 100 * np.minimum(n[k + 1 :], n[k]) >= rule.percent * np.maximum(n[k + 1 :], n[k])
+                    for m in np.flatnonzero(near & (comp[k + 1 :] != comp[k]) & (apart <= (100 - rule.percent) * both)):
+                        out.add((int(node[k]), int(node[k + 1 + m])))
             a, b = zip(*sorted(out), strict=True) if out else ((), ())
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -325,9 +337,12 @@ def _small_candidates(left: DataFrame, prefix: DataFrame, rule: Rule) -> DataFra
 def _sets_of(docs: DataFrame, of_doc: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """node, s: the whole sets of nodes, made again from one document of each."""
     first = of_doc.join(_hint(nodes, 24), "node").groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("d")).select("node", "d.doc_id", "d.key")
-    d, f = keyed(docs).alias("d"), _hint(stored(first, "chosen_rows"), 48).alias("f")
+    first = stored(first, "chosen_rows")
+    d, f = keyed(docs).alias("d"), _hint(first, 48).alias("f")
     text = d.join(f, (F.col("d.key") == F.col("f.key")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("node", "text")
-    return stored(full_sets(text, rule).dropDuplicates(["node"]), "sets")
+    sets = stored(full_sets(text, rule), "sets")
+    # Only repeated rows make a node's set twice.
+    return sets if sets.count() == first.count() else stored(sets.dropDuplicates(["node"]), "sets")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -363,6 +378,14 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: R
     def verified(pairs: DataFrame) -> DataFrame:
         return stored(_overlaps(_sets_of(docs, of_doc, _ends(pairs), rule), pairs, rule), "links")
 
+    def in_all_orders(pairs: DataFrame) -> DataFrame:
+        """pairs that the sizes and the prefixes under the other two orders allow."""
+        some = _hint(pairs, 24)
+        x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"))
+        y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"))
+        both = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
+        return stored(both.select("a", "b").distinct(), "candidates")
+
     for k in range(rounds):
         # A group of two has met already.
         left = open_groups(3 if k else 2)
@@ -372,19 +395,13 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: R
         hub = left.groupBy("g", part.alias("part")).agg(F.min(F.struct(F.xxhash64("node", F.lit(-1 - k)).alias("h"), "node", "comp")).alias("hub"))
         met = left.join(hub, "g").where("hub.comp <> comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
         pairs = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
-        # The sizes, and the other two orders.
-        some = _hint(pairs, 24)
-        x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"))
-        y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"))
-        both = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
-        chosen = stored(both.select("a", "b").distinct(), "candidates")
         tried = tried.unionByName(pairs)
-        comp = merged(verified(chosen))
+        comp = merged(verified(in_all_orders(pairs)))
     left = open_groups(3 if rounds else 2)
     small, large = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
-    chosen = stored(_small_candidates(small, prefix, rule).join(tried, ["a", "b"], "left_anti"), "candidates")
-    if not chosen.isEmpty():
-        comp = merged(verified(chosen))
+    pairs = stored(_small_candidates(small, prefix, rule).join(tried, ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        comp = merged(verified(in_all_orders(pairs)))
     if not large.isEmpty():
         left = open_groups(SMALL + 1)
         sets = _sets_of(docs, of_doc, left.select("node").distinct(), rule)
