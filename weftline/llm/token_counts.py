@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.llm.common import stored
 from weftline.llm.encoding import encoder, vocabulary_path
 
 BLOCK = 256
@@ -37,7 +38,9 @@ def histogram(lens: DataFrame) -> DataFrame:
     """One row per length L: n_docs of that length, docs_from and tokens_from (of length L or more: the suffix sums),
     docs_total, tokens_total, tokens_within (tokens that stay if each document is cut at L), tokens_cut, docs_cut, and
     share_whole (documents that a context of L holds whole)."""
-    hist = lens.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
+    # A small table, stored since it is read three times and each time would encode the texts.
+    counted = stored(lens.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths")
+    hist = counted.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     tokens = F.col("n_tokens") * F.col("n_docs")
     # Blocks are the longest length / BLOCK rows at most; their suffix sums join back by block.
     later = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
