@@ -632,3 +632,74 @@ def relations_by_type(spark: SparkSession, d: str) -> DataFrame:
 
 
 FLAGSHIP = relations_by_type
+
+
+# Clauses in the language of the rules, made of line items, through the whole extraction
+
+
+def _legal_clauses(spark: SparkSession, d: str) -> DataFrame:
+    item = F.concat(F.col("l_linenumber").cast("string"))
+    article, number = F.pmod("l_orderkey", F.lit(50)) + 1, F.pmod("l_partkey", F.lit(9000)) + 10
+    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    text = (
+        F.when(F.col("l_returnflag") == "A", say("Bãi bỏ khoản ", item, " Điều ", article, " Nghị định số ", number, "/2019/NĐ-CP."))
+        .when(F.col("l_returnflag") == "N", say("Thực hiện theo quy định tại khoản ", item, " và ", F.col("l_linenumber") + 1, " Điều ", article, " Thông tư số ", number, "/2019/TT-BTC; bổ sung hồ sơ."))
+        .otherwise(say("Sửa đổi, bổ sung điểm a khoản ", item, " Điều ", article, " Nghị định số ", number, "/2019/NĐ-CP (đã được sửa đổi theo Nghị định số 5/2020/NĐ-CP) như sau:"))
+    )
+    key = F.concat(F.lit("dieu_"), F.col("l_linenumber").cast("string"))
+    return read(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), key.alias("com_key"), text.alias("text"))
+
+
+_LEGAL = """s AS (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_orderkey % 50 + 1 AS article, l_partkey % 9000 + 10 AS num, l_linenumber AS line FROM lineitem),
+x AS (
+  SELECT l_orderkey, 'bai_bo' AS relation, 'khoan_' || line || '_dieu_' || article AS key, num || '/2019/NĐ-CP' AS number FROM s WHERE l_returnflag = 'A' UNION ALL
+  SELECT l_orderkey, 'dan_chieu', 'khoan_' || unnest([line, line + 1]) || '_dieu_' || article, num || '/2019/TT-BTC' FROM s WHERE l_returnflag = 'N' UNION ALL
+  SELECT l_orderkey, 'sua_doi_bo_sung', 'diem_a_khoan_' || line || '_dieu_' || article, num || '/2019/NĐ-CP' FROM s WHERE l_returnflag = 'R')"""
+
+
+@query(f"WITH {_LEGAL} SELECT relation, key, count(*) AS n, count(DISTINCT number) AS numbers, count(DISTINCT l_orderkey) AS docs FROM x GROUP BY relation, key")
+def legal_relations(spark: SparkSession, d: str) -> DataFrame:
+    """Cues, mentions, lists, masks, distractors, rank policy and conflicts, counted by target clause."""
+    from weftline.operators import extract
+
+    clauses = _legal_clauses(spark, d)
+    sources = clauses.select("doc_id").distinct().withColumn("source_number", F.lit("20/2021/NĐ-CP"))
+    found = extract.allowed(extract.matched(extract.cleaned(clauses).withColumn("parent_text", F.lit(None).cast("string"))), sources)
+    return found.groupBy("relation", "key").agg(F.count("*").alias("n"), F.count_distinct("number").alias("numbers"), F.count_distinct("doc_id").alias("docs"))
+
+
+_RANKS = """CASE WHEN n LIKE '%/QH14' THEN 130 WHEN n LIKE '%NĐ-CP' THEN 100 WHEN n LIKE '%QĐ-TTg' THEN 90 WHEN n LIKE '%TT-BTC' THEN 80 WHEN n LIKE '%NQ-HĐND' THEN 60 ELSE 50 END"""
+
+
+def _numbers(spark: SparkSession, d: str) -> DataFrame:
+    ends = F.array(*map(F.lit, ("QH14", "NĐ-CP", "QĐ-TTg", "TT-BTC", "NQ-HĐND", "QĐ-UBND")))
+    number = lambda k: F.concat((k % 900 + 1).cast("string"), F.lit("/2020/"), F.get(ends, (k % 6).cast("int")))
+    o = read(spark, d, "orders")
+    return o.select("o_orderkey", number(F.col("o_orderkey")).alias("a"), number(F.floor(F.col("o_custkey") / 3)).alias("b"))
+
+
+_NUMBERS = """e AS (SELECT ['QH14', 'NĐ-CP', 'QĐ-TTg', 'TT-BTC', 'NQ-HĐND', 'QĐ-UBND'] AS l), k AS (SELECT o_orderkey, o_orderkey AS i, CAST(floor(o_custkey / 3) AS BIGINT) AS j FROM orders),
+n AS (SELECT o_orderkey, (i % 900 + 1) || '/2020/' || l[i % 6 + 1] AS a, (j % 900 + 1) || '/2020/' || l[j % 6 + 1] AS b FROM k, e)"""
+
+
+@query(f"""WITH {_NUMBERS}, r AS (SELECT o_orderkey, a, b, {_RANKS.replace('n LIKE', 'a LIKE')} AS ra, {_RANKS.replace('n LIKE', 'b LIKE')} AS rb FROM n)
+SELECT o_orderkey, a, b, CAST(ra AS INTEGER) AS rank_a, CAST(rb AS INTEGER) AS rank_b, CASE WHEN ra > rb THEN 'source_higher' WHEN ra < rb THEN 'source_lower'
+  WHEN a LIKE '%QĐ%' AND b LIKE '%NQ%' THEN 'source_lower' WHEN a LIKE '%NQ%' AND b LIKE '%QĐ%' THEN 'source_higher' END AS way FROM r""")
+def authority_compare(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks of the issuing bodies of two numbers, and which is higher."""
+    from weftline.functions import authority as A
+
+    n = _numbers(spark, d)
+    info = A.described(n.select(F.col("a").alias("number")).unionByName(n.select(F.col("b").alias("number"))))
+    n = A.with_info(A.with_info(n, info, "a", None, "_a"), info, "b", None, "_b")
+    return n.select("o_orderkey", "a", "b", F.col("_a_rank").alias("rank_a"), F.col("_b_rank").alias("rank_b"), A.way("_a", "_b").alias("way"))
+
+
+@query("""WITH s AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'ngày 5/3/2020' WHEN 1 THEN 'ngày 15-12-2019' WHEN 2 THEN 'ngày 7 tháng 9 năm 2018' WHEN 3 THEN 'tháng 4 năm 2017' WHEN 4 THEN 'năm 2016' ELSE 'Luật Hàng không 1991' END AS t,
+  CASE o_orderkey % 6 WHEN 0 THEN ['05', '03', '2020'] WHEN 1 THEN ['15', '12', '2019'] WHEN 2 THEN ['07', '09', '2018'] WHEN 3 THEN [NULL, '04', '2017'] WHEN 4 THEN [NULL, NULL, '2016'] ELSE [NULL, NULL, '1991'] END AS x FROM orders)
+SELECT o_orderkey, x[1] AS day, x[2] AS month, CAST(x[3] AS INTEGER) AS year FROM s""")
+def issue_dates(spark: SparkSession, d: str) -> DataFrame:
+    said = F.array(*map(F.lit, ("ngày 5/3/2020", "ngày 15-12-2019", "ngày 7 tháng 9 năm 2018", "tháng 4 năm 2017", "năm 2016", "Luật Hàng không 1991")))
+    o = read(spark, d, "orders").select("o_orderkey", F.get(said, F.pmod("o_orderkey", F.lit(6)).cast("int")).alias("t"))
+    date = X.issue_date(F.col("t"))
+    return o.select("o_orderkey", date["day"].alias("day"), date["month"].alias("month"), date["year"].alias("year"))
