@@ -241,7 +241,9 @@ def _cue_pattern() -> tuple[re.Pattern, list[tuple[str, bool]]]:
     every += [(p, rel, True) for rel, phrases in rules.PASSIVE_PHRASES.items() for p in phrases]
     every += [(p, "thay_the", True) for p in rules.EXPIRY_REPLACED] + [(p, "bai_bo", True) for p in rules.EXPIRY_REPEALED]
     every.sort(key=lambda x: -len(x[0]))
-    body = "|".join(f"(?P<g{k}>{_phrase(p, **parts)})" for k, (p, _, _) in enumerate(every))
+    # A last word "từ" is the noun, not the "from" of a range of clauses.
+    noun = rf"(?!\s+{LEVELS})"
+    body = "|".join(f"(?P<g{k}>{_phrase(p, **parts)}){noun if p.endswith(' từ') else ''}" for k, (p, _, _) in enumerate(every))
     return re.compile(rf"(?<!\w)(?=(?:{body})(?!\w))", re.IGNORECASE), [(rel, back) for _, rel, back in every]
 
 
