@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from weftline.functions import authority
-from weftline.operators import extract, graph, lookup, metrics, relations, sampling, spans
+from weftline.operators import classify, extract, graph, lookup, metrics, relations, sampling, spans
 from weftline.sources import documents as sources
 from weftline.streaming import landing
 
@@ -161,3 +161,33 @@ def test_landing_is_idempotent(spark, tmp_path):
     assert rows(table.read()) == want
     done = spark.createDataFrame([(1,)], "id int")
     assert rows(landing.unprocessed(table.read(), done, "id").select("id")) == [(2,), (3,)]
+
+
+def test_classify(spark):
+    docs = spark.createDataFrame([(1, "Luật", "Trung ương", ["Quốc hội"]), (2, "Dự thảo Luật", "Trung ương", []), (3, "Quyết định", "Hà Nội", None), (4, "Thông tư", None, ["Bộ ở Trung ương"]), (5, "Thông tư", " ", []), (6, None, "x", [])], "i int, kind string, place string, units array<string>")
+    got = {r.i: r.x for r in docs.select("i", classify.issuer(F.col("kind"), F.col("place"), F.col("units")).alias("x")).collect()}
+    assert got == {1: "law", 2: "draft", 3: "local", 4: "central", 5: None, 6: None}
+    lists = F.create_map(F.lit("k"), F.array(F.lit(1)))
+    one = spark.range(1).select(
+        classify.relation_bucket(F.lit("Về hiệu lực, căn cứ"), lists, {"R2": ("k",)}).alias("a"),
+        classify.relation_bucket(F.lit("x"), lists, {"R1": ("none",), "R2": ("k",)}).alias("b"),
+        classify.year_bucket(F.lit(2021)).alias("c"),
+        classify.authority_level(F.lit("UBND tỉnh A"), F.lit(None).cast("string")).alias("d"),
+        classify.keep_failed(F.lit("thongtu"), F.lit("Thông tư")).alias("e"),
+        classify.keep_failed(F.lit("thongtu"), F.lit("Thông tư số 5")).alias("f"),
+        classify.keep_failed(F.lit("vanban"), F.lit("Văn bản đề nghị theo mẫu số 5")).alias("g"),
+        classify.display_reference(F.lit("a"), F.lit(None).cast("string"), F.lit("Điều 5"), F.lit("Luật X")).alias("h"),
+        classify.marked_text(F.lit("sửa Điều 5 nay"), (F.lit(0), F.lit(3)), (F.lit(4), F.lit(10))).alias("i"),
+        classify.ambiguous(F.array(F.lit("bai_bo")), F.lit(3), F.lit(0), F.lit(False)).alias("j"),
+        classify.one_json_object(F.lit('<think>{"no":1}</think> so {"a": {"b": 1}} }')).alias("k"),
+        classify.unresolved_category(F.lit("luat"), F.lit("Luật A năm 2020")).alias("l"),
+        classify.type_from_number(F.lit("3/2020/NQ-HĐND")).alias("m"),
+    ).first()
+    assert tuple(one) == ("R3", "R2", "Y2", "local", False, True, False, "điểm a Điều 5 Luật X", "[ACT]sửa[/ACT] [REF]Điều 5[/REF] nay", "no_target", '{"a":{"b":1}}', "law_title_date", "Nghị quyết")
+
+
+def test_terms(spark):
+    from weftline.functions.text import corrected_term
+
+    n = spark.createDataFrame([("5/2018/QH13",), ("5/2016/QH13",), ("5/2016/QH14",), ("5/2012/QH12",), ("9/2020/NĐ-CP",), (None,)], "n string")
+    assert [r.x for r in n.select(corrected_term(F.col("n")).alias("x")).collect()] == ["5/2018/QH14", "5/2016/QH13", "5/2016/QH14", "5/2012/QH13", "9/2020/NĐ-CP", None]

@@ -219,10 +219,21 @@ def hash_bucket(value: Column) -> Column:
     return F.conv(F.substring(F.sha1(value), 1, 8), 16, 10).cast("long")
 
 
-def term_year_number(number: Column, year: Column) -> Column:
-    """The assembly's term in a law's number, by year of issue, where the number has a term."""
-    term = F.when(year >= 2021, "15").when(year >= 2016, "14").when(year >= 2011, "13").when(year >= 2007, "12").when(year >= 2002, "11").when(year >= 1997, "10")
-    return F.when(term.isNotNull(), F.regexp_replace(number, r"QH\d+$", F.concat(F.lit("QH"), term))).otherwise(number)
+#: Years from, to and the assembly's term in numbers; the first that holds counts.
+TERMS = ((2011, 2016, "QH13"), (2016, 2021, "QH14"), (2021, 2026, "QH15"))
+
+
+def corrected_term(number: Column) -> Column:
+    """The number with the assembly's term that belongs to its year; of two terms in a change-over year either stands."""
+    year = F.regexp_extract(number, r"(?i)/(\d{4})/QH\d+\b", 1).try_cast("int")
+    said = F.upper(F.regexp_extract(number, r"(?i)/\d{4}/(QH\d+)\b", 1))
+    out = number
+    for a, b, term in reversed(TERMS):
+        out = F.when(year.between(a, b) & (said != term), F.regexp_replace(number, r"(?i)(/\d{4}/)QH\d+\b", f"$1{term}")).otherwise(out)
+    right = F.lit(False)
+    for a, b, term in TERMS:
+        right = right | (year.between(a, b) & (said == term))
+    return F.when(F.coalesce(right, F.lit(False)), number).otherwise(out)
 
 
 # Vectorised: Spark has no such function
