@@ -5,9 +5,9 @@
 2. Orders. A fixed-size sketch counts shingles over all documents. Three global orders of shingles all put those with rare
    counts first and differ in how they break ties. If two sets overlap enough, then under each order they share a shingle
    among the first n - ceil(t n) + 1 (n: size, t: threshold).
-3. Candidates. Under the first order the prefixes are grouped by shingle and class of sizes. In each group every node meets a few hubs,
-   not all the others; a pair stays if the sizes allow the threshold and the two prefixes of the second and of the third order
-   meet as well.
+3. Candidates. Under the first order the prefixes are grouped by shingle and class of sizes; groups with the same hub (a node picked by a
+   hash) become one. In each group every node meets the hub, later a few more, not all the others; a pair stays if the sizes allow
+   the threshold and the two prefixes of the second and of the third order meet as well.
 4. Verification counts the overlap of the whole sets. Links are joined to components.
 5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then is compared exactly, only between
    different components: small groups, mostly dissimilar nodes that share a rare shingle, by the same filters as before; large ones in
@@ -45,7 +45,7 @@ BINS = 32
 SLICES = 16
 MERGE = 64
 ROUNDS = 3
-#: Hubs of a group in each round.
+#: Hubs of a group in each round after the first.
 HUBS = 4
 #: Groups up to this size are compared as one row in the end, larger ones in blocks of BLOCK nodes.
 SMALL = 64
@@ -361,7 +361,10 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: R
     slotted = token.join(shared, "t").distinct().withColumn("c", size_class).select("t", "node", "c", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("slot"))
     slotted = stored(slotted.select(F.xxhash64("t", "slot").alias("g"), "node", (F.col("c") == F.col("slot")).alias("own")), "members")
     real = slotted.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("own").alias("own")).where("lo <> hi AND own").select("g")
-    members = stored(slotted.select("g", "node").join(real, "g"), "groups")
+    grouped = slotted.select("g", "node").join(real, "g")
+    # Groups of near copies have much the same nodes. Those with the same hub become one, which has every pair that they had.
+    hub = grouped.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit("hub")).alias("h"), "node")).alias("hub"))
+    members = stored(grouped.join(hub, "g").select(F.col("hub.node").alias("g"), "node").distinct(), "groups")
     comp = spark.createDataFrame([], "node long, comp long")
     tried = spark.createDataFrame([], "a long, b long")
 
@@ -391,9 +394,12 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: R
         left = open_groups(3 if k else 2)
         if left.isEmpty():
             return comp
-        part = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(HUBS))
-        hub = left.groupBy("g", part.alias("part")).agg(F.min(F.struct(F.xxhash64("node", F.lit(-1 - k)).alias("h"), "node", "comp")).alias("hub"))
-        met = left.join(hub, "g").where("hub.comp <> comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+        if k == 0:
+            met = left.where("g <> node").select(F.least("g", "node").alias("a"), F.greatest("g", "node").alias("b")).distinct()
+        else:
+            part = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(HUBS))
+            hub = left.groupBy("g", part.alias("part")).agg(F.min(F.struct(F.xxhash64("node", F.lit(-1 - k)).alias("h"), "node", "comp")).alias("hub"))
+            met = left.join(hub, "g").where("hub.comp <> comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
         pairs = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
         comp = merged(verified(in_all_orders(pairs)))
