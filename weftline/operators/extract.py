@@ -12,6 +12,7 @@ from weftline.functions.authority import with_policy
 from weftline.functions.fixed import RELATION_PRIORITY
 from weftline.functions.text import clean_markup, drop_reasons, extract_parent_candidate, is_consolidated
 from weftline.operators.relations import best_relation, mapped
+from weftline.sources.scratch import stored
 
 _REF = "point string, clause string, article string, key string, doc_type string, number string, date string, title string, own boolean"
 _FIELDS = [("relation", pa.string()), ("cue", pa.string()), ("cue_start", pa.int32()), ("cue_stop", pa.int32()), ("inherited", pa.bool_()), ("ref_start", pa.int32()), ("ref_stop", pa.int32())]
@@ -74,8 +75,10 @@ def matched(clauses: DataFrame) -> DataFrame:
 
 
 def allowed(found: DataFrame, sources: DataFrame) -> DataFrame:
-    """found without relations that the documents' rank rules out; citations stay. sources has doc_id and source_number."""
-    known = found.join(sources.select("doc_id", "source_number"), "doc_id", "left")
+    """found without relations that the documents' rank rules out; citations stay. sources has doc_id and source_number.
+
+    found is stored, since its numbers are looked up apart and the rules along the texts should run once."""
+    known = stored(found, "matches").join(sources.select("doc_id", "source_number"), "doc_id", "left")
     itself = (F.col("number") == F.col("source_number")) & (F.col("relation") != "dan_chieu")
     judged = with_policy(known, "relation", "source_number", "number", "doc_type")
     return judged.where(~F.col("dropped") & ~F.coalesce(itself, F.lit(False))).drop("dropped")
