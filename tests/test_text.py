@@ -67,6 +67,13 @@ CASES = [
     ("Thay thế từ khoản 1 đến khoản 3 Điều 8 Nghị định số 2/2012/NĐ-CP.", "", {("thay_the", f"khoan_{k}_dieu_8", "2/2012/NĐ-CP") for k in (1, 2, 3)}, {"bai_bo"}),
     ("Quy định chi tiết Luật Đất đai.", "", {("quy_dinh_chi_tiet", "", None)}, {"huong_dan"}),
     ("Kéo dài thời gian công tác theo Điều 3.", "", {("dan_chieu", "dieu_3", None)}, {"keo_dai_hieu_luc"}),
+    ("Bổ sung dự án Luật Đất đai vào chương trình lập pháp năm 2020.", "", set(), {"sua_doi_bo_sung"}),
+    ("Bãi bỏ quy định chuyển tiếp áp dụng trước thời điểm Luật số 1/2015/QH13 có hiệu lực thi hành.", "", set(), {"bai_bo"}),
+    ("Bãi bỏ Nghị quyết số 5/2010/NQ-HĐND về việc kéo dài Nghị quyết số 4/2009/NQ-HĐND.", "", {("bai_bo", "", "5/2010/NQ-HĐND")}, {"keo_dai_hieu_luc"}),
+    ("Bãi bỏ:\n1. Thông tư số 3/2015/TT-BTC\n", "", set(), {"thay_the"}),
+    ("Sửa đổi khoản 1 Điều 2 Nghị định số 8/2010/NĐ-CP đã được sửa đổi tại Nghị định số 9/2012/NĐ-CP.", "", {("sua_doi_bo_sung", "khoan_1_dieu_2", "8/2010/NĐ-CP")}, {"bai_bo"}),
+    ("Thay thế Phụ lục ban hành kèm theo Nghị định số 8/2010/NĐ-CP.", "", {("sua_doi_bo_sung", "", "8/2010/NĐ-CP")}, {"thay_the"}),
+    ("Theo quy định của Luật này, Luật Nhà ở và quy định khác.", "", {("dan_chieu", "", None)}, {"can_cu"}),
     ("Không có gì ở đây.", "", set(), {"dan_chieu"}),
     ("", "", set(), set()),
 ]
@@ -75,7 +82,7 @@ CASES = [
 @pytest.mark.parametrize(("text", "key", "wanted", "forbidden"), CASES)
 def test_clause_relations(text, key, wanted, forbidden):
     found = {(c.relation, m.key, m.number) for c, m in matches(text, key)}
-    assert found == wanted
+    assert found == wanted, [(c.text, m) for c, m in matches(text, key)]
     assert not {r for r, _, _ in found} & forbidden
 
 

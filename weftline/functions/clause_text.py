@@ -292,11 +292,14 @@ def _sentence_of(text: str, scopes: list[tuple[int, int]], at: int) -> tuple[int
 
 def matches(text: str, own_key: str = "") -> list[tuple[Cue, Mention]]:
     """Each cue with the mentions it acts on: forward ones those up to the next cue in the sentence, and if there are none up to its end;
-    backward ones those before it in the sentence."""
+    backward ones those before it in the sentence. Then the filters, and the relation by the target's scope."""
     refs = mentions(text, own_key)
     if not refs:
         return []
-    acts, scopes, out = [c for c in cues(text) if c.reason is None], sentences(masked(text)), []
+    from weftline.functions.match_filters import filtered, refined
+
+    plain = masked(text)
+    acts, scopes, out = [c for c in cues(text) if c.reason is None], sentences(plain), []
     for k, c in enumerate(acts):
         a, b = _sentence_of(text, scopes, c.start)
         if c.backward:
@@ -304,5 +307,7 @@ def matches(text: str, own_key: str = "") -> list[tuple[Cue, Mention]]:
         else:
             fence = min([b, *(d.start for d in acts[k + 1 : k + 2] if d.start < b)])
             got = [m for m in refs if c.stop <= m.start < fence] or [m for m in refs if c.stop <= m.start < b]
-        out += [(c, m) for m in got]
+        for m in filtered(plain, c, got):
+            relation = refined(plain, c, m)
+            out.append((c if relation == c.relation else replace(c, relation=relation), m))
     return out
