@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it holds, Python steps that are run get batches of at most rows rows: for rows that are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; other characters stay, unlike lower()."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

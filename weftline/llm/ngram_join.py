@@ -7,7 +7,8 @@
    among the first n - ceil(t n) + 1 (n: size, t: threshold).
 3. Candidates. Under the first order the prefixes are grouped by shingle and class of sizes; groups with the same hub (a node picked by a
    hash) become one. In each group every node meets the hub, later a few more, not all the others; a pair stays if the sizes allow
-   the threshold and the two prefixes of the second and of the third order meet as well.
+   the threshold, the two prefixes of the second and of the third order meet as well, and the counts of shingles in BINS classes are
+   not too far apart (sets differ in at least as many shingles as the counts do, so this loses nothing).
 4. Verification counts the overlap of the whole sets. Links are joined to components.
 5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then is compared exactly, only between
    different components: small groups, mostly dissimilar nodes that share a rare shingle, by the same filters as before; large ones in
@@ -35,13 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import BROADCAST_BYTES, stored
+from weftline.llm.common import BROADCAST_BYTES, arrow_batches, stored
 from weftline.llm.components import components
 
 U = np.uint64
 SLOT_BITS = 24
 #: Classes of shingles that are counted for each node: sets whose counts differ too much can't overlap enough.
-BINS = 32
+BINS = 256
+#: Rows of a batch that goes to Python.
+BATCH = 1000
 SLICES = 16
 MERGE = 64
 ROUNDS = 3
@@ -241,6 +244,21 @@ def _near(a: Column, b: Column, rule: Rule) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * rule.percent
 
 
+def _apart(a: np.ndarray, b: np.ndarray, both: np.ndarray, rule: Rule) -> np.ndarray:
+    """Whether counts by class rule a link out: the sets differ in at least as many shingles as their counts do."""
+    return np.abs(a.astype(np.int64) - b).sum(axis=-1) * (100 + rule.percent) > (100 - rule.percent) * both
+
+
+def _not_too_far(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.array([np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in batch[k]], dtype=np.int64).reshape(-1, BINS) for k in ("ha", "hb"))
+            both = batch["na"].to_numpy() + batch["nb"].to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(~_apart(a, b, both, rule)))
+
+    return run
+
+
 def _overlaps(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) that link. b's set goes to a's place for each pair, a's goes there once."""
     pairs = pairs.select("a", "b")
@@ -322,11 +340,9 @@ def _small_candidates(left: DataFrame, prefix: DataFrame, rule: Rule) -> DataFra
                 node, comp, n = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(3))
                 hist = np.array([np.frombuffer(r[3], dtype=np.uint8) for r in rows], dtype=np.int64)
                 for k in range(len(rows) - 1):
-                    # The sets differ in at least as many shingles as their counts do.
-                    apart = np.abs(hist[k + 1 :] - hist[k]).sum(axis=1) * (100 + rule.percent)
-                    both = n[k + 1 :] + n[k]
                     near = 100 * np.minimum(n[k + 1 :], n[k]) >= rule.percent * np.maximum(n[k + 1 :], n[k])
-                    for m in np.flatnonzero(near & (comp[k + 1 :] != comp[k]) & (apart <= (100 - rule.percent) * both)):
+                    far = _apart(hist[k + 1 :], hist[k], n[k + 1 :] + n[k], rule)
+                    for m in np.flatnonzero(near & (comp[k + 1 :] != comp[k]) & ~far):
                         out.add((int(node[k]), int(node[k + 1 + m])))
             a, b = zip(*sorted(out), strict=True) if out else ((), ())
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -382,12 +398,13 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: R
         return stored(_overlaps(_sets_of(docs, of_doc, _ends(pairs), rule), pairs, rule), "links")
 
     def in_all_orders(pairs: DataFrame) -> DataFrame:
-        """pairs that the sizes and the prefixes under the other two orders allow."""
+        """pairs that the sizes, the prefixes under the other two orders and the counts by class allow."""
         some = _hint(pairs, 24)
-        x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"))
-        y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"))
+        x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"), F.col("hist").alias("ha"))
+        y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"), F.col("hist").alias("hb"))
         both = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
-        return stored(both.select("a", "b").distinct(), "candidates")
+        left = both.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_not_too_far(rule), "a long, b long")
+        return stored(left.distinct(), "candidates")
 
     for k in range(rounds):
         # A group of two has met already.
@@ -419,7 +436,8 @@ def ngram_jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of docs, and node, the same number for equal sets."""
     found = stored(document_sets(docs, rule), "document_sets")
     of_doc = found.where("kind = 0").select("doc_id", "key", "node", "n")
-    comp = similar_nodes(docs, of_doc.where("node IS NOT NULL"), rarity(found), rule)
+    with arrow_batches(docs.sparkSession, BATCH):
+        comp = similar_nodes(docs, of_doc.where("node IS NOT NULL"), rarity(found), rule)
     named = of_doc.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "least")
     named = stored(named, "named")
     # Only components of several nodes need a minimum over them.
@@ -433,7 +451,8 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     smallest text hash. Documents without shingles stay."""
     found = stored(document_sets(docs, rule), "document_sets")
     of_doc = found.where("kind = 0 AND node IS NOT NULL").select("doc_id", "key", "node", "n")
-    comp = similar_nodes(docs, of_doc, rarity(found), rule)
+    with arrow_batches(docs.sparkSession, BATCH):
+        comp = similar_nodes(docs, of_doc, rarity(found), rule)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")
     # The first row of each node, then of each component, both aggregated before the shuffle.
     nodes = of_doc.groupBy("node").agg(F.min(order).alias("first")).join(comp, "node", "left").select(F.coalesce("comp", "node").alias("comp"), "first")
