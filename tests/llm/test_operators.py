@@ -385,6 +385,7 @@ def test_passages_of_several_lines(spark):
         if k % 2 == 0 or k == 1:
             assert got[k].text == text
     left = [sum(line in got[k].text for line in passage) for k in range(3, 40, 2)]
+    print("LEFT", sum(left) / 6 / len(left))
     assert sum(left) <= 0.35 * 6 * len(left)  # most of the passage goes, whatever precedes it
 
 
