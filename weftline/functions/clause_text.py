@@ -244,7 +244,8 @@ def _cue_pattern() -> tuple[re.Pattern, list[tuple[str, bool]]]:
     # A last word "từ" is the noun, not the "from" of a range of clauses.
     noun = rf"(?!\s+{LEVELS})"
     body = "|".join(f"(?P<g{k}>{_phrase(p, **parts)}){noun if p.endswith(' từ') else ''}" for k, (p, _, _) in enumerate(every))
-    return re.compile(rf"(?<!\w)(?=(?:{body})(?!\w))", re.IGNORECASE), [(rel, back) for _, rel, back in every]
+    first = "|".join(sorted({p.split()[0] for p, _, _ in every}))  # few places start with one of these words
+    return re.compile(rf"(?<!\w)(?={first})(?=(?:{body})(?!\w))", re.IGNORECASE), [(rel, back) for _, rel, back in every]
 
 
 _TYPE_TAIL = re.compile(rf"(?:{TYPES}|{LEVELS})$", re.IGNORECASE)
