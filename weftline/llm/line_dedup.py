@@ -1,14 +1,14 @@
 """Line dedup: content-defined chunks of lines, and removal of those that repeat anywhere.
 
-Each line is hashed. A rolling (cyclic) hash over the last line hashes ends a chunk wherever its low bits are zero, so
-boundaries follow the content and survive lines put in before. LEVELS has several such chunkings of a text, by other bits and
-windows: a passage whose edge falls inside a chunk of one of them mostly starts or ends one of another. A line of min_words words
-or more is a chunk by itself (the usual greatest chunk size), so it is found wherever it stands.
+Each line is hashed. A rolling (cyclic) hash over the last line hashes ends a piece wherever its low bits are zero, and a line of
+LONG words or more is a piece by itself (the usual greatest size), so boundaries follow the content and survive lines put in
+before. LEVELS has several such chunkings of a text, by other bits and windows: a passage whose edge falls inside a piece of one of
+them mostly starts or ends one of another. A chunk is a piece, or a run of up to RUN pieces of which none counts alone.
 
-A chunk counts if it has two lines with words, or min_words words. Chunks are grouped by hash and length with a partial aggregation that
-keeps the first and last occurrence, so a hot chunk moves a row per task. The texts of repeated chunks alone are moved then, and
-an occurrence is removed only if its bytes equal those of the first one. The first occurrence, by doc_id and place, stays. Joins are
-sort-merge joins that Spark can split where a key is hot; nothing gathers a group in one place.
+A chunk counts if it has min_words words, or two lines with words and MULTI words in all. Chunks are grouped by hash and length with a
+partial aggregation that keeps the first and last occurrence, so a hot chunk moves a row per task. The texts of repeated chunks alone
+are moved then, and an occurrence is removed only if its bytes equal those of the first one. The first occurrence, by doc_id and
+place, stays. Joins are sort-merge joins that Spark can split where a key is hot; nothing gathers a group in one place.
 
 Defined results. Null text stays null, with no lines. A text whose lines all went is empty. Rows equal in doc_id and text are one
 document: each gets the same result, and they don't count as repeats of each other. Rows with one doc_id and other texts are
@@ -27,6 +27,10 @@ from weftline.llm.common import stored
 LEVELS = ((1, 0), (1, 11), (2, 23))
 BITS = 1
 MIN_WORDS = 50
+#: Words of a line that is a piece by itself, words of a chunk of several lines, and pieces of a run.
+LONG = 25
+MULTI = 25
+RUN = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -39,29 +43,52 @@ def _rolled(hashes: Column, i: Column, window: int) -> Column:
     return value
 
 
-def _ends(hashes: Column, words: Column, window: int, bit: int, min_words: int) -> Column:
-    """Numbers (from 1) of the lines that end a chunk."""
+def _ends(hashes: Column, words: Column, window: int, bit: int) -> Column:
+    """Numbers (from 1) of the lines that end a piece."""
     n = F.size(hashes)
 
     def ends(i: Column) -> Column:
         cut = F.shiftrightunsigned(_rolled(hashes, i, window), bit).bitwiseAND(F.lit((1 << BITS) - 1)) == 0
-        near = (F.element_at(words, i) >= min_words) | (F.coalesce(F.get(words, i), F.lit(0)) >= min_words)
+        near = (F.element_at(words, i) >= LONG) | (F.coalesce(F.get(words, i), F.lit(0)) >= LONG)
         return (i == n) | near | cut
 
     return F.filter(F.sequence(F.lit(1), n), ends)
 
 
-def _ranges(ends: Column) -> Column:
-    """(a, b) for each chunk: lines a + 1 to b."""
-    return F.transform(ends, lambda b, k: F.struct(F.when(k == 0, 0).otherwise(F.get(ends, k - 1)).alias("a"), b.alias("b")))
+def _pieces(ends: Column, words: Column, min_words: int) -> Column:
+    """(a, b, ok) for each piece: lines a + 1 to b, and whether it counts alone."""
 
+    def piece(b: Column, k: Column) -> Column:
+        a = F.when(k == 0, 0).otherwise(F.get(ends, k - 1))
+        return F.struct(a.alias("a"), b.alias("b"), _counts(words, a, b, min_words).alias("ok"))
 
-def _counting(ranges: Column, words: Column, min_words: int) -> Column:
-    def counts(x: Column) -> Column:
-        inside = F.slice(words, x["a"] + 1, x["b"] - x["a"])
-        return F.when(x["b"] - x["a"] == 1, F.element_at(words, x["b"]) >= min_words).otherwise(F.size(F.filter(inside, lambda w: w > 0)) >= 2)
+    return F.transform(ends, piece)
 
-    return F.filter(ranges, counts)
+
+def _counts(words: Column, a: Column, b: Column, min_words: int) -> Column:
+    inside = F.slice(words, a + 1, b - a)
+    total = F.aggregate(inside, F.lit(0), lambda x, w: x + w)
+    return (total >= min_words) | ((total >= MULTI) & (F.size(F.filter(inside, lambda w: w > 0)) >= 2))
+
+
+def _runs(pieces: Column, words: Column, size: int, min_words: int) -> Column:
+    """(a, b) of the runs of size pieces that count, none of whose pieces does alone."""
+
+    def run(x: Column, k: Column) -> Column:
+        some = F.slice(pieces, F.greatest(k - size + 2, F.lit(1)), size)
+        whole = (k >= size - 1) & ~F.exists(some, lambda p: p["ok"])
+        return F.struct(F.when(whole, some[0]["a"]).alias("a"), x["b"].alias("b"))
+
+    return F.filter(F.transform(pieces, run), lambda x: x["a"].isNotNull() & _counts(words, x["a"], x["b"], min_words))
+
+
+def _chunks(pieces: list[Column], words: Column, min_words: int) -> Column:
+    """Distinct (a, b) of all chunks that count, of all levels."""
+    found = []
+    for p in pieces:
+        found.append(F.transform(F.filter(p, lambda x: x["ok"]), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))
+        found += [_runs(p, words, size, min_words) for size in range(2, RUN + 1)]
+    return F.array_distinct(F.concat(*found))
 
 
 def _exploded(cut: DataFrame, *fields: str) -> DataFrame:
@@ -77,10 +104,12 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     hashes = F.transform("_lines", lambda x: F.xxhash64(x))
     words = F.transform("_lines", lambda x: F.regexp_count(x, F.lit(WORD)))
     names = [f"_e{k}" for k in range(len(LEVELS))]
+    own = [F.col("_id"), F.col("_k"), F.col("_lines"), F.col("_w")]
     cut = (
         lined.select("_id", "_k", "_lines", hashes.alias("_h"), words.alias("_w"))
-        .select("_id", "_k", "_lines", "_w", *[_ends(F.col("_h"), F.col("_w"), *level, min_words).alias(k) for k, level in zip(names, LEVELS, strict=True)])
-        .select("_id", "_k", "_lines", _counting(F.array_distinct(F.concat(*[_ranges(F.col(k)) for k in names])), F.col("_w"), min_words).alias("_c"))
+        .select(*own, *[_ends(F.col("_h"), F.col("_w"), *level).alias(k) for k, level in zip(names, LEVELS, strict=True)])
+        .select(*own, *[_pieces(F.col(k), F.col("_w"), min_words).alias(k) for k in names])
+        .select("_id", "_k", "_lines", _chunks([F.col(k) for k in names], F.col("_w"), min_words).alias("_c"))
     )
     chunk = _exploded(cut, "a", "b").select("_id", "_k", "a", "b", F.xxhash64("t").alias("h"), F.octet_length("t").alias("n"))
     chunk = stored(chunk, "line_chunks")
