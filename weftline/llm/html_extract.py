@@ -41,8 +41,8 @@ MAIN = frozenset("article main".split())
 # Words in class, id or role that name page furniture, or main text.
 FURNITURE_MARKS = frozenset(
     """ad ads adv advert adverts advertisement alert banner breadcrumb breadcrumbs captcha comment comments consent contentinfo cookie cookies
-    disqus footer masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies
-    reply responses share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar widget widgets""".split()
+    cookiebar copyright disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies
+    reply responses share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar widget widgets""".split()
 )
 MAIN_MARKS = frozenset("article content entry main post story".split())
 HEADER_MARKS = frozenset("header".split())
