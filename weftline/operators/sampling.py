@@ -6,6 +6,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import hash_bucket
+from weftline.sources.scratch import stored
+
+
+def ranked(df: DataFrame, group: list[str], order: list[Column | str], name: str) -> DataFrame:
+    """df with name: the rank of a row within its group, from 1, ties broken anyhow among rows equal in order.
+
+    Rows are dealt by ranges of group and order, numbered within each range, and moved on by what the ranges before hold of the
+    group. So a group that a third of the rows are in is spread over many tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    dealt = stored(df.repartitionByRange(n, *[F.col(c) for c in group], *keys).withColumn("_part", F.spark_partition_id()), "ranges")
+    within = dealt.withColumn("_row", F.row_number().over(Window.partitionBy("_part", *group).orderBy(*keys)))
+    held = dealt.groupBy("_part", *group).agg(F.count("*").alias("_held"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = held.withColumn("_before", F.coalesce(F.sum("_held").over(before), F.lit(0))).select(F.col("_part").alias("_p"), *[F.col(c).alias(f"_g{k}") for k, c in enumerate(group)], "_before")
+    same = F.col("_part") == F.col("_p")
+    for k, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{k}"))
+    return within.join(offset, same).withColumn(name, F.col("_row") + F.col("_before")).select(*df.columns, name)
 
 
 def allocated(cells: DataFrame, weight: Column, total: int, ties: list[str]) -> DataFrame:
@@ -30,20 +49,24 @@ def sample_by_cell(df: DataFrame, cell: list[str], quota: Column, seed: int, *id
 
 def round_robin(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """df with turn, the rank within group; sorted by turn and group the groups alternate."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return ranked(df, group, order, "turn")
 
 
 def capped(df: DataFrame, group: list[str], order: list[str], cap: int) -> DataFrame:
-    """The first cap rows of each group: a cap that the export states."""
-    return round_robin(df, group, order).where(F.col("turn") <= cap).drop("turn")
+    """The first cap rows of each group: a cap that the export states. Spark keeps no more than cap rows of a group in each task before it
+    shuffles."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= cap).drop("_n")
 
 
 def evenly_spaced(df: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
     """k rows of each group at even distances, first and last among them, places rounded half to even; all rows of smaller ones."""
-    w = Window.partitionBy(*group)
-    ranked = df.withColumns({"_i": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count("*").over(w)})
-    spots = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / F.lit(max(1, k - 1))).cast("int"))
-    return ranked.where((F.col("_n") <= k) | F.array_contains(spots, F.col("_i"))).drop("_i", "_n")
+    sizes = df.groupBy(*group).agg(F.count("*").alias("_n")).select(*[F.col(c).alias(f"_s{k}") for k, c in enumerate(group)], "_n")
+    same = F.lit(True)
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    placed = ranked(df, group, order, "_i").join(sizes, same)
+    spots = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / F.lit(max(1, k - 1))).cast("long"))
+    return placed.where((F.col("_n") <= k) | F.array_contains(spots, F.col("_i") - 1)).select(*df.columns)
 
 
 def stable_split(key: Column, validation: float, test: float = 0.0) -> Column:
@@ -64,7 +87,13 @@ def first_of_text(df: DataFrame, text: Column, order: list[str]) -> DataFrame:
 
 def chunks(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """df with chunk: 1 to n, near-equal, the first ones larger by one."""
-    return df.withColumn("chunk", F.ntile(n).over(Window.orderBy(*order)))
+    total = df.agg(F.count("*").alias("_total"))
+    placed = ranked(df, [], order, "_i").join(F.broadcast(total), how="cross")  # one row
+    small, more = F.floor(F.col("_total") / n), F.col("_total") % n
+    at = F.col("_i") - 1
+    in_large = F.floor(at / (small + 1))
+    chunk = F.when(at < more * (small + 1), in_large).otherwise(more + F.floor((at - more * (small + 1)) / F.greatest(small, F.lit(1)))) + 1
+    return placed.withColumn("chunk", chunk.cast("int")).select(*df.columns, "chunk")
 
 
 def ordered_union(tables: list[DataFrame], key: str) -> DataFrame:

@@ -507,8 +507,10 @@ def threshold_pick(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_JUDGED} SELECT lang, doc_id, score, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, doc_id) AS r FROM j WHERE NOT gold) WHERE r <= 10""")
 def hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     """The ten hardest negatives of each language: the report's stated size."""
-    ranked = sampling.round_robin(_judged(spark, d).where("NOT gold"), ["lang"], [F.col("score").desc(), "doc_id"])
-    return ranked.where("turn <= 10").select("lang", "doc_id", "score", F.col("turn").alias("rank"))
+    from weftline.operators.spans import nearest_k
+
+    hardness = _judged(spark, d).where("NOT gold").withColumn("ease", -F.col("score"))
+    return nearest_k(hardness, ["lang"], "ease", "doc_id", 10).select("lang", "doc_id", "score", "rank")
 
 
 @query("""WITH r AS (SELECT l_returnflag AS flag, l_extendedprice AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS i, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem),
@@ -553,7 +555,7 @@ def golden_exclusion(spark: SparkSession, d: str) -> DataFrame:
 SELECT source, doc_id FROM r WHERE n <= 7 OR i IN (SELECT CAST(round_even(k * (n - 1) / 6.0, 0) AS BIGINT) FROM generate_series(0, 6) g(k))""")
 def evenly_spaced(spark: SparkSession, d: str) -> DataFrame:
     """Seven documents of each source at even distances: a sampling operator."""
-    return sampling.evenly_spaced(read(spark, d, "documents"), ["source"], ["doc_id"], 7).select("source", "doc_id")
+    return sampling.evenly_spaced(read(spark, d, "documents").select("source", "doc_id"), ["source"], ["doc_id"], 7)
 
 
 @query("""WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang), e AS (SELECT lang, n, n * 137.0 / sum(n) OVER () AS x FROM c), r AS (SELECT *, floor(x) AS base, row_number() OVER (ORDER BY round(x - floor(x), 9) DESC, lang) AS rank FROM e)
@@ -565,7 +567,8 @@ def strata_allocation(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT doc_id, lang, source, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS INTEGER) AS turn FROM documents""")
 def round_robin(spark: SparkSession, d: str) -> DataFrame:
-    return sampling.round_robin(read(spark, d, "documents"), ["lang", "source"], ["doc_id"]).select("doc_id", "lang", "source", "turn")
+    docs = read(spark, d, "documents").select("doc_id", "lang", "source")
+    return sampling.round_robin(docs, ["lang", "source"], ["doc_id"]).select("doc_id", "lang", "source", F.col("turn").cast("int").alias("turn"))
 
 
 @query("""SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY sha1('42|' || doc_id), doc_id) AS n FROM documents) WHERE n <= 12""")
