@@ -27,6 +27,30 @@ def test_nearest_side_ties_go_back(spark):
     assert rows(spans.nearest_side(pairs, ["cue"], "cs", "ce", "rs", "re").select("cue", "rs", "side", "distance")) == [(1, 5, "back", 3), (2, 13, "ahead", 1)]
 
 
+def test_passes_in_order_equal_pairs(spark):
+    """The ordered passes against all pairs, with ties."""
+    import random
+
+    r = random.Random(3)
+    cues = spark.createDataFrame([(r.randrange(3), k, r.randrange(12)) for k in range(40)], "u int, cue int, at int")
+    refs = spark.createDataFrame([(r.randrange(3), k, r.randrange(12)) for k in range(40)], "u int, ref int, rat int")
+    fenced = spans.fenced(cues, ["u"], "at")  # of cues at one place any but one has an empty reach
+    last = cues.groupBy("u", "at").agg(F.max("cue").alias("cue"))
+    want = last.join(fenced.groupBy("u", "at").agg(F.max(F.coalesce("fence", F.lit(99))).alias("fence")), ["u", "at"]).join(refs, "u").where("rat > at AND rat < fence")
+    assert rows(spans.forward_targets(cues, refs, ["u"], "at", "rat", "cue").select("u", "cue", "ref")) == rows(want.select("u", "cue", "ref"))
+    pairs = spans.nearest_side(cues.join(refs, "u"), ["u", "cue"], "at", "at", "rat", "rat")
+    got = spans.nearest_refs(cues, refs, ["u"], "cue", "at", "ref", "rat", 3)
+    assert rows(got.select("u", "cue", "ref", "side", "distance", "rank")) == rows(spans.nearest_k(pairs, ["u", "cue"], "distance", "ref", 3).select("u", "cue", "ref", "side", "distance", "rank"))
+
+
+def test_ranked(spark):
+    df = spark.createDataFrame([(None if k % 5 == 0 else k % 2, (k * 7919) % 101) for k in range(101)], "g int, i int")
+    from pyspark.sql import Window
+
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("i")))
+    assert rows(sampling.ranked(df, ["g"], ["i"], "n")) == rows(want)
+
+
 def test_nearest_after_and_lists(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, "x"), (1, 3, None)], "k int, i int, v string")
     assert rows(spans.nearest_after(df, ["k"], ["i"], "v", "w").select("i", "w")) == [(1, "x"), (2, "x"), (3, None)]

@@ -24,10 +24,44 @@ def fenced(cues: DataFrame, key: list[str], at: str) -> DataFrame:
     return cues.withColumn("fence", F.lead(at).over(Window.partitionBy(*key).orderBy(at)))
 
 
-def forward_targets(cues: DataFrame, refs: DataFrame, key: list[str], cue_at: str, ref_at: str) -> DataFrame:
-    """Pairs of a cue and the references after it, up to the next cue of the same key. The join is on key, then on places."""
-    own = fenced(cues, key, cue_at)
-    return own.join(refs, key).where((F.col(ref_at) > F.col(cue_at)) & (F.col("fence").isNull() | (F.col(ref_at) < F.col("fence"))))
+def forward_targets(cues: DataFrame, refs: DataFrame, key: list[str], cue_at: str, ref_at: str, cue: str) -> DataFrame:
+    """Each reference with the cue whose reach it is in: after the cue and before the next one of the same key, neither end included.
+    Of cues at one place the last by cue counts.
+
+    That cue is the last one that is not after the reference, so one pass over both, in order, finds it, and no pairs are made."""
+    a = cues.select(*key, F.col(cue_at).alias("_at"), F.lit(0).alias("_ref"), F.col(cue).alias("_order"), F.struct(*cues.columns).alias("_cue"))
+    b = refs.select(*key, F.col(ref_at).alias("_at"), F.lit(1).alias("_ref"), F.struct(*[c for c in refs.columns if c not in key]).alias("_row"))
+    w = Window.partitionBy(*key).orderBy("_at", "_ref", "_order").rowsBetween(Window.unboundedPreceding, 0)
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("_last", F.last("_cue", ignorenulls=True).over(w))
+    own = [f"_last.{c}" for c in cues.columns if c not in key]
+    return both.where((F.col("_ref") == 1) & (F.col(f"_last.{cue_at}") < F.col("_at"))).select(*key, *own, "_row.*")
+
+
+def nearest_refs(cues: DataFrame, refs: DataFrame, key: list[str], cue: str, cue_at: str, ref: str, ref_at: str, k: int) -> DataFrame:
+    """key, cue, ref, side, distance, rank: the k nearest references of each cue on the side whose nearest one is nearer; a tie goes to the
+    side before, and of equally near ones the least ref is nearer.
+
+    References are numbered in order within the key, each cue learns how many are before it, and takes its k by number: no more than k
+    rows a cue are made."""
+    w = Window.partitionBy(*key)
+    # Numbered twice, so that counting back and counting on both meet the least ref first.
+    numbered = refs.select(*key, F.col(ref).alias("ref"), F.col(ref_at).alias("_rs")).withColumns(
+        {"_up": F.row_number().over(w.orderBy("_rs", F.col("ref").desc())), "_down": F.row_number().over(w.orderBy("_rs", "ref"))}
+    )
+    places = cues.select(*key, F.col(cue).alias("cue"), F.col(cue_at).alias("_at"))
+    marks = places.select(*key, "cue", "_at", F.lit(None).cast("int").alias("_one")).unionByName(numbered.select(*key, F.lit(None).alias("cue"), F.col("_rs").alias("_at"), F.lit(1).alias("_one")))
+    upto = w.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    below = w.orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    counted = marks.withColumns({"_n_upto": F.count("_one").over(upto), "_n_below": F.count("_one").over(below)}).where("_one IS NULL").drop("_one")
+    steps = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_step")
+    wanted = counted.select("*", steps)
+    back = wanted.withColumn("_up", F.col("_n_upto") - F.col("_step")).join(numbered, [*key, "_up"]).select(*key, "cue", "ref", F.lit("back").alias("side"), (F.col("_at") - F.col("_rs")).alias("distance"))
+    ahead = wanted.withColumn("_down", F.col("_n_below") + 1 + F.col("_step")).join(numbered, [*key, "_down"]).select(*key, "cue", "ref", F.lit("ahead").alias("side"), (F.col("_rs") - F.col("_at")).alias("distance"))
+    both = back.unionByName(ahead)
+    own = Window.partitionBy(*key, "cue")
+    best = F.min(F.struct("distance", F.when(F.col("side") == "back", 0).otherwise(1).alias("z"), "side")).over(own)["side"]
+    kept = both.withColumn("_side", best).where("side = _side").drop("_side")
+    return kept.withColumn("rank", F.row_number().over(own.orderBy("distance", "ref"))).where(F.col("rank") <= k)
 
 
 def nearest_side(pairs: DataFrame, cue: list[str], cue_start: str, cue_stop: str, ref_start: str, ref_stop: str) -> DataFrame:

@@ -133,8 +133,7 @@ def nearest_mention(spark: SparkSession, d: str) -> DataFrame:
     e = _events(spark, d)
     cue = e.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("cue"), F.col("s").alias("cs"))
     ref = e.where("event_type = 'error'").select("user_id", F.col("event_id").alias("ref"), F.col("s").alias("rs"))
-    near = spans.nearest_side(cue.join(ref, "user_id"), ["user_id", "cue"], "cs", "cs", "rs", "rs")
-    return spans.nearest_k(near, ["user_id", "cue"], "distance", "ref", 2).select("user_id", "cue", "ref", "side", "distance", "rank")
+    return spans.nearest_refs(cue, ref, ["user_id"], "cue", "cs", "ref", "rs", 2).select("user_id", "cue", "ref", "side", "distance", "rank")
 
 
 @query("""WITH c AS (SELECT user_id, event_id AS cue, ts AS at, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS fence FROM events WHERE event_type = 'signup')
@@ -144,7 +143,7 @@ def fence_range_join(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events")
     cues = e.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("cue"), F.col("ts").alias("cue_at"))
     refs = e.where("event_type = 'click'").select("user_id", F.col("event_id").alias("ref"), F.col("ts").alias("ref_at"))
-    return spans.forward_targets(cues, refs, ["user_id"], "cue_at", "ref_at").select("user_id", "cue", "ref")
+    return spans.forward_targets(cues, refs, ["user_id"], "cue_at", "ref_at", "cue").select("user_id", "cue", "ref")
 
 
 @query("""WITH g AS (SELECT user_id, event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events),
