@@ -47,6 +47,17 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system, at the end of a task: workers live on between stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 @contextlib.contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """While it holds, Python steps that are run get batches of at most rows rows: for rows that are large."""

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import give_back
+
 BITS = 16
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\r\x0b\x0c"
@@ -29,7 +31,7 @@ SPACES = " \t\n\r\x0b\x0c"
 class TrainConfig:
     """rows_per_class bounds the labelled sample; hold_out is the part of it that only calibrates."""
 
-    rows_per_class: int = 1000
+    rows_per_class: int = 500
     hold_out: float = 0.3
     rounds: int = 80
     l2: float = 1e-5
@@ -117,8 +119,8 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], config: TrainConfig) ->
             for slots in rows[k][1:]:
                 if len(slots):
                     s, c = np.unique(slots, return_counts=True)
-                    own.append(np.full(len(s), at)), slot.append(s), value.append(c / len(slots))
-        return (np.concatenate(own), np.concatenate(slot), np.concatenate(value)) if own else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+                    own.append(np.full(len(s), at, np.int32)), slot.append(s.astype(np.int32)), value.append((c / len(slots)).astype(np.float32))
+        return (np.concatenate(own), np.concatenate(slot), np.concatenate(value)) if own else (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32))
 
     y = np.array([rows[k][0] for k in cut], dtype=float)
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
@@ -185,7 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, config: TrainConfig = TrainConfig(
         w, c = (np.frombuffer(x, dtype="<i4") for x in (r.w, r.c))
         if r.doc_id not in found or (len(w), bytes(r.w)) < (len(found[r.doc_id][1]), found[r.doc_id][1].tobytes()):
             found[r.doc_id] = (r.y, w, c)
-    return fit([found[k] for k in sorted(found)], config)
+    model = fit([found.pop(k) for k in sorted(found)], config)
+    give_back()
+    return model
 
 
 def judge(docs: DataFrame, model: Model | None, rules: Rules = Rules(), keep_columns: bool = False) -> DataFrame:
@@ -220,6 +224,7 @@ def judge(docs: DataFrame, model: Model | None, rules: Rules = Rules(), keep_col
             columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], t) for t in kinds]
             first = batch.schema.names if keep_columns else ["doc_id"]
             yield pa.record_batch([*(batch[k] for k in first), *columns], [*first, *names])
+        give_back()
 
     return docs.mapInArrow(score, schema)
 
