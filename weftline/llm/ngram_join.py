@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import BROADCAST_BYTES, arrow_batches, stored
+from weftline.llm.common import BROADCAST_BYTES, arrow_batches, give_back, stored
 from weftline.llm.components import components
 
 U = np.uint64
@@ -160,45 +160,53 @@ def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
             if own.any():
                 row = (1, None, None, None, None, part, k, zlib.compress(own.tobytes(), 1))
                 yield pa.record_batch([pa.array([c], t) for c, t in zip(row, kinds, strict=True)], names)
+        del counts
+        give_back()
 
     return keyed(docs).mapInArrow(run, "kind int, doc_id long, key long, node long, n long, part long, slice int, counts binary")
 
 
-def rarity(partial: DataFrame) -> np.ndarray:
-    """The level of each slot, from all documents: the number of bits of its count. Counts are added MERGE tables at a time."""
+def rarity(partial: DataFrame) -> dict[int, bytes]:
+    """The level of each slot, from all documents: the number of bits of its count, by slice, compressed. Counts are added MERGE tables
+    at a time; the driver gets the levels alone, a byte a slot before compression."""
     per = (1 << SLOT_BITS) // SLICES
     parts = partial.where("kind = 1").select("part", "slice", "counts")
     most = parts.agg(F.max("part")).first()[0]
 
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(per, dtype=np.uint64)
-        for c in rows["counts"]:
-            c = zlib.decompress(c)
-            total += np.frombuffer(c, dtype=np.uint8 if len(c) == per else np.uint32)
-        total = np.minimum(total, U(2**32 - 1)).astype(np.uint32)
-        return pd.DataFrame({"part": [int(key[0])], "slice": [int(key[1])], "counts": [zlib.compress(total.tobytes(), 1)]})
+    def add(last: bool):
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(per, dtype=np.uint64)
+            for c in rows["counts"]:
+                c = zlib.decompress(c)
+                total += np.frombuffer(c, dtype=np.uint8 if len(c) == per else np.uint32)
+            if last:
+                made = np.frexp(total.astype(np.float64))[1].astype(np.uint8)
+            else:
+                made = np.minimum(total, U(2**32 - 1)).astype(np.uint32)
+            return pd.DataFrame({"part": [int(key[0])], "slice": [int(key[1])], "counts": [zlib.compress(made.tobytes(), 1)]})
+
+        return run
 
     while most is not None:
         most //= MERGE
-        parts = parts.groupBy(F.floor(F.col("part") / MERGE).alias("part"), "slice").applyInPandas(add, "part long, slice int, counts binary")
-        if not most:
-            break
+        parts = parts.groupBy(F.floor(F.col("part") / MERGE).alias("part"), "slice").applyInPandas(add(most == 0), "part long, slice int, counts binary")
+        if most == 0:
+            return {r["slice"]: bytes(r["counts"]) for r in parts.toLocalIterator()}
         parts = stored(parts, "sketch")
-    level = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
-    for r in parts.toLocalIterator() if most is not None else ():
-        own = np.frombuffer(zlib.decompress(bytes(r["counts"])), dtype=np.uint32)
-        level[r["slice"] * per : (r["slice"] + 1) * per] = np.frexp(own.astype(np.float64))[1]
-    return level
+    return {}
 
 
-def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
-    """node, n, hist (shingles in each of BINS classes, to 255), and p1, p2, p3: the prefixes under the three orders. A task gives a
+def prefixes(docs: DataFrame, rule: Rule, level: dict[int, bytes]) -> DataFrame:
+    """Stored: node, n, hist (shingles in each of BINS classes, to 255), and p1, p2, p3: the prefixes under the three orders. A task gives a
     node once, as far as it remembers."""
-    shared = docs.sparkSession.sparkContext.broadcast(zlib.compress(level.tobytes(), 1))
+    shared = docs.sparkSession.sparkContext.broadcast(level)
+    per = (1 << SLOT_BITS) // SLICES
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
+        of = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+        for k, packed in shared.value.items():
+            of[k * per : (k + 1) * per] = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
         seen: set[int] = set()
         for batch in batches:
             rows = []
@@ -223,8 +231,13 @@ def prefixes(docs: DataFrame, rule: Rule, level: np.ndarray) -> DataFrame:
                 rows.append((node, len(s), hist.tobytes(), *first))
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["node", "n", "hist", "p1", "p2", "p3"])
+        del of
+        seen.clear()
+        give_back()
 
-    return docs.select("text").mapInArrow(run, "node long, n long, hist binary, p1 array<long>, p2 array<int>, p3 array<int>")
+    found = stored(docs.select("text").mapInArrow(run, "node long, n long, hist binary, p1 array<long>, p2 array<int>, p3 array<int>"), "prefixes")
+    shared.unpersist()
+    return found
 
 
 def full_sets(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -232,6 +245,7 @@ def full_sets(docs: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             sets = [shingles(t.as_py(), rule) for t in batch["text"]]
             yield pa.record_batch([batch["node"], pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "s"])
+        give_back()
 
     return docs.select("node", "text").mapInArrow(run, "node long, s binary")
 
@@ -272,6 +286,7 @@ def _overlaps(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                 x, y = (np.frombuffer(v.as_buffer(), dtype=U) for v in (x, y))
                 keep.append(rule.links(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return left.join(right, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
@@ -365,10 +380,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
-def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: Rule, rounds: int = ROUNDS) -> DataFrame:
+def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: dict[int, bytes], rule: Rule, rounds: int = ROUNDS) -> DataFrame:
     """node, comp of each node that is linked; comp is the smallest node of its component."""
     spark = docs.sparkSession
-    prefix = stored(prefixes(docs, rule, level), "prefixes")
+    prefix = prefixes(docs, rule, level)
     token = prefix.select(F.explode("p1").alias("t"), "node", "n")
     shared = token.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("t")
     # Sizes that differ too much can't link. A node is in the group of its class of sizes and in the next one's, so two that can link
@@ -434,9 +449,9 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: np.ndarray, rule: R
 
 def ngram_jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id of each row of docs, and node, the same number for equal sets."""
-    found = stored(document_sets(docs, rule), "document_sets")
-    of_doc = found.where("kind = 0").select("doc_id", "key", "node", "n")
     with arrow_batches(docs.sparkSession, BATCH):
+        found = stored(document_sets(docs, rule), "document_sets")
+        of_doc = found.where("kind = 0").select("doc_id", "key", "node", "n")
         comp = similar_nodes(docs, of_doc.where("node IS NOT NULL"), rarity(found), rule)
     named = of_doc.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least")).join(comp, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "least")
     named = stored(named, "named")
@@ -449,9 +464,9 @@ def ngram_jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """The rows of docs, less those of a group of linked documents but one: the one with the smallest doc_id (null last), then the
     smallest text hash. Documents without shingles stay."""
-    found = stored(document_sets(docs, rule), "document_sets")
-    of_doc = found.where("kind = 0 AND node IS NOT NULL").select("doc_id", "key", "node", "n")
     with arrow_batches(docs.sparkSession, BATCH):
+        found = stored(document_sets(docs, rule), "document_sets")
+        of_doc = found.where("kind = 0 AND node IS NOT NULL").select("doc_id", "key", "node", "n")
         comp = similar_nodes(docs, of_doc, rarity(found), rule)
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")
     # The first row of each node, then of each component, both aggregated before the shuffle.
