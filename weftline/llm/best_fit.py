@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import stored
+from weftline.llm.common import arrow_batches, give_back, stored
 from weftline.llm.encoding import encoder, vocabulary_path
 
 LIMIT = 4096
@@ -33,6 +33,8 @@ END_ID = 1
 GROUP = 4096
 #: A bin this full is final in every round but the last.
 FULL = 0.998
+#: Texts of a batch that goes to Python.
+BATCH = 1000
 #: Tries of the local search per bin and pass; passes end sooner when nothing gains.
 PASSES = 3
 
@@ -53,6 +55,8 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        enc.forget()
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -174,7 +178,8 @@ def packed(parts: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFram
 
         return run
 
-    numbered = stored(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    with arrow_batches(parts.sparkSession, BATCH):
+        numbered = stored(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     whole = numbered.where(F.col("length") == limit).select(*columns, (-F.col("_row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     n_rest = numbered.where(F.col("length") < limit).count()
     most = 16 * group

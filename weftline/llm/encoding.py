@@ -5,8 +5,8 @@ pre-tokenizer drops it), so a text's ids are those of its pieces, in order. It l
 stop or comma, so ASCII capitals are lowered and such a sign before white space is set apart first, which makes pieces recur.
 A piece of plain Latin letters goes to the vocabulary's merges directly; any other goes through the whole tokenizer.
 
-The cache holds at most CACHE pieces and is emptied when full; that changes speed only. The path of the vocabulary file is a
-parameter and must exist on each worker.
+The cache holds at most CACHE pieces and is emptied when full and after each task; that changes speed only. The path of the
+vocabulary file is a parameter and must exist on each worker.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from typing import Any
 
 import numpy as np
 
-CACHE = 800_000
+CACHE = 600_000
 #: Longer pieces are encoded anew each time, so that the cache's memory is bounded.
 LONGEST = 64
 
@@ -56,6 +56,10 @@ class Encoder:
         self.letters = _byte_letters()
         self.known: dict[bytes, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the cache: at the end of a task, since idle workers keep their memory."""
+        self.known = {}
+
     def _ids(self, piece: bytes) -> bytes:
         text = piece.decode()
         if _PLAIN.fullmatch(text):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import stored
+from weftline.llm.common import give_back, stored
 from weftline.llm.encoding import encoder, vocabulary_path
 
 BLOCK = 256
@@ -30,6 +30,8 @@ def lengths(docs: DataFrame, path: str, end_tokens: int = 0) -> DataFrame:
         for batch in batches:
             found = [len(enc.encode(x.as_py() or "")) // 4 + end_tokens for x in batch["text"]]
             yield pa.record_batch([pa.array(found, pa.int64())], ["n_tokens"])
+        enc.forget()
+        give_back()
 
     return docs.select("text").mapInArrow(count, "n_tokens long")
 
