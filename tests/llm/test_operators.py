@@ -389,6 +389,24 @@ def test_passages_of_several_lines(spark):
     assert sum(left) <= 0.35 * 6 * len(left)  # most of the passage goes, whatever precedes it
 
 
+@pytest.mark.parametrize("blank", [False, True])
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 6, 8])
+def test_passages_of_short_lines(spark, size, blank):
+    words = prose(3000 + size, 60).split()
+    lines = [" ".join(words[k : k + size]) for k in range(0, 60, size)]
+    passage = ("\n\n" if blank else "\n").join(lines)
+    own = {k: [prose(3100 + 2 * k + j, 30) for j in range(2)] for k in range(6)}
+    made = [(k, "\n".join([own[k][0], passage, own[k][1]])) for k in range(6)]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert got == {k: made[0][1] if k == 0 else "\n".join(own[k]) for k in range(6)}
+
+
+def test_repeats_that_overlap_leave_the_first(spark):
+    made = [(1, "\n".join(["x"] * 60)), (2, "\n" * 30000 + "y")]  # one word a line; blank lines alone are no passage
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert got == {1: "\n".join(["x"] * 25), 2: made[1][1]}
+
+
 def test_equal_hashes_need_equal_bytes(spark, monkeypatch):
     from pyspark.sql import functions as F
 

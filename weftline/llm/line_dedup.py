@@ -1,16 +1,19 @@
 """Line dedup: content-defined chunks of lines, and removal of those that repeat anywhere.
 
-Each line is hashed. A rolling (cyclic) hash over the last line hashes ends a piece wherever its low bits are zero, and a line of
-LONG words or more is a piece by itself (the usual greatest size), so boundaries follow the content and survive lines put in
-before. LEVELS has several such chunkings of a text, by other bits and windows: a passage whose edge falls inside a piece of one of
-them mostly starts or ends one of another. A chunk is a piece, or a run of up to RUN pieces of which none counts alone.
+A chunk counts if it has min_words words, or two lines with words and MULTI words in all. From each line with words the least chunk
+that counts is formed, once forwards and once backwards; blank lines never start, end or lengthen one. Where a chunk ends thus
+follows from its content alone, whatever stands before or behind it, so of a passage that counts and repeats every line goes: a line
+whose chunk forwards leaves the passage lies in the chunk backwards from the passage's end. A chunk has at most MULTI lines with
+words, so a text has at most two chunks a line, of bounded words but for long lines.
 
-A chunk counts if it has min_words words, or two lines with words and MULTI words in all. Chunks are grouped by hash and length with a
+Chunks are grouped by hash and length with a
 partial aggregation that keeps the first and last occurrence, so a hot chunk moves a row per task. The texts of repeated chunks alone
 are moved then, and an occurrence is removed only if its bytes equal those of the first one. The first occurrence, by doc_id and
-place, stays. Joins are sort-merge joins that Spark can split where a key is hot; nothing gathers a group in one place.
+place, stays; of one that overlaps it, the lines behind it go. Joins are sort-merge joins that Spark can split where a key is hot;
+nothing gathers a group in one place.
 
-Defined results. Null text stays null, with no lines. A text whose lines all went is empty. Rows equal in doc_id and text are one
+Defined results. Null text stays null, with no lines. A text whose lines all went is empty. Blank lines between two removed chunks go
+with them. Rows equal in doc_id and text are one
 document: each gets the same result, and they don't count as repeats of each other. Rows with one doc_id and other texts are
 documents of their own. Null doc_ids sort first. Extra columns stay as they are, whatever their names, but for the added
 n_lines and n_removed.
@@ -23,72 +26,48 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import stored
 
-#: (window in lines, first bit that is looked at) of each chunking; a boundary needs BITS zero bits.
-LEVELS = ((1, 0), (1, 11), (2, 23))
-BITS = 1
 MIN_WORDS = 50
-#: Words of a line that is a piece by itself, words of a chunk of several lines, and pieces of a run.
-LONG = 25
+#: Words of a chunk of several lines.
 MULTI = 25
-RUN = 3
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _rolled(hashes: Column, i: Column, window: int) -> Column:
-    """The cyclic hash of the lines up to line number i (from 1), window of them at most."""
-    value = F.element_at(hashes, i)
-    for back in range(1, window):
-        before = F.coalesce(F.try_element_at(hashes, F.greatest(i - back, F.lit(1))), F.lit(0).cast("long"))
-        value = value.bitwiseXOR(F.shiftleft(before, back).bitwiseOR(F.shiftrightunsigned(before, 64 - back)))
-    return value
+def _grown(words: Column, min_words: int) -> Column:
+    """For each line with words (words has no others), how many lines behind it its least chunk takes; null if no chunk counts."""
+    need = min(MULTI, min_words)
 
+    def grown(w: Column, i: Column) -> Column:
+        start = F.struct(w.cast("long").alias("t"), F.lit(0).alias("n"))
+        more = lambda s, x: F.when((s["n"] > 0) & (s["t"] >= need), s).otherwise(F.struct((s["t"] + x).alias("t"), (s["n"] + 1).alias("n")))
+        enough = lambda s: F.when((s["n"] > 0) & (s["t"] >= need), s["n"])
+        return F.when(w >= min_words, 0).otherwise(F.aggregate(F.slice(words, i + 2, max(1, need)), start, more, enough))
 
-def _ends(hashes: Column, words: Column, window: int, bit: int) -> Column:
-    """Numbers (from 1) of the lines that end a piece."""
-    n = F.size(hashes)
+    return F.transform(words, grown)
 
-    def ends(i: Column) -> Column:
-        cut = F.shiftrightunsigned(_rolled(hashes, i, window), bit).bitwiseAND(F.lit((1 << BITS) - 1)) == 0
-        near = (F.element_at(words, i) >= LONG) | (F.coalesce(F.get(words, i), F.lit(0)) >= LONG)
-        return (i == n) | near | cut
 
-    return F.filter(F.sequence(F.lit(1), n), ends)
+def _chunks(at: Column, on: Column, back: Column, n: Column) -> Column:
+    """Distinct (a, b, c) of all chunks: lines a + 1 to b, and c, the blank lines behind it included. at: the places (from 0) of the
+    lines with words; on, back: what _grown gives for them and for them in reverse."""
 
+    def chunk(first: Column, last: Column) -> Column:
+        return F.struct(F.get(at, first).alias("a"), (F.get(at, last) + 1).alias("b"), F.coalesce(F.get(at, last + 1), n).alias("c"))
 
-def _pieces(ends: Column, words: Column, min_words: int) -> Column:
-    """(a, b, ok) for each piece: lines a + 1 to b, and whether it counts alone."""
+    forwards = F.transform(on, lambda k, i: F.when(k.isNotNull(), chunk(i, i + k)))
+    backwards = F.transform(back, lambda k, i: F.when(k.isNotNull(), chunk(F.size(at) - 1 - i - k, F.size(at) - 1 - i)))
+    return F.array_distinct(F.filter(F.concat(forwards, backwards), lambda x: x.isNotNull()))
 
-    def piece(b: Column, k: Column) -> Column:
-        a = F.when(k == 0, 0).otherwise(F.get(ends, k - 1))
-        return F.struct(a.alias("a"), b.alias("b"), _counts(words, a, b, min_words).alias("ok"))
 
-    return F.transform(ends, piece)
+def _merged(gone: Column) -> Column:
+    """The ranges (a, b, c) in order, joined where they overlap or only blank lines lie between them."""
+    kind = "array<struct<a:int,b:int,c:int>>"
 
+    def merge(done: Column, r: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        both = F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"), F.greatest(last["c"], r["c"]).alias("c"))
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))
+        return F.when(r["a"] <= last["c"], joined).otherwise(F.concat(done, F.array(r))).cast(kind)
 
-def _counts(words: Column, a: Column, b: Column, min_words: int) -> Column:
-    inside = F.slice(words, a + 1, b - a)
-    total = F.aggregate(inside, F.lit(0), lambda x, w: x + w)
-    return (total >= min_words) | ((total >= MULTI) & (F.size(F.filter(inside, lambda w: w > 0)) >= 2))
-
-
-def _runs(pieces: Column, words: Column, size: int, min_words: int) -> Column:
-    """(a, b) of the runs of size pieces that count, none of whose pieces does alone."""
-
-    def run(x: Column, k: Column) -> Column:
-        some = F.slice(pieces, F.greatest(k - size + 2, F.lit(1)), size)
-        whole = (k >= size - 1) & ~F.exists(some, lambda p: p["ok"])
-        return F.struct(F.when(whole, some[0]["a"]).alias("a"), x["b"].alias("b"))
-
-    return F.filter(F.transform(pieces, run), lambda x: x["a"].isNotNull() & _counts(words, x["a"], x["b"], min_words))
-
-
-def _chunks(pieces: list[Column], words: Column, min_words: int) -> Column:
-    """Distinct (a, b) of all chunks that count, of all levels."""
-    found = []
-    for p in pieces:
-        found.append(F.transform(F.filter(p, lambda x: x["ok"]), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))))
-        found += [_runs(p, words, size, min_words) for size in range(2, RUN + 1)]
-    return F.array_distinct(F.concat(*found))
+    return F.aggregate(F.array_sort(gone), F.array().cast(kind), merge)
 
 
 def _exploded(cut: DataFrame, *fields: str) -> DataFrame:
@@ -101,28 +80,32 @@ def _exploded(cut: DataFrame, *fields: str) -> DataFrame:
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_id, _k of each document that loses lines, and _gone: its (a, b) ranges. docs has _id, _k, _text."""
     lined = docs.where("_text IS NOT NULL").select("_id", "_k", F.split("_text", "\n").alias("_lines"))
-    hashes = F.transform("_lines", lambda x: F.xxhash64(x))
     words = F.transform("_lines", lambda x: F.regexp_count(x, F.lit(WORD)))
-    names = [f"_e{k}" for k in range(len(LEVELS))]
-    own = [F.col("_id"), F.col("_k"), F.col("_lines"), F.col("_w")]
+    some = F.filter("_w", lambda w: w > 0)
+    places = F.filter(F.transform("_w", lambda w, i: F.when(w > 0, i)), lambda i: i.isNotNull())
     cut = (
-        lined.select("_id", "_k", "_lines", hashes.alias("_h"), words.alias("_w"))
-        .select(*own, *[_ends(F.col("_h"), F.col("_w"), *level).alias(k) for k, level in zip(names, LEVELS, strict=True)])
-        .select(*own, *[_pieces(F.col(k), F.col("_w"), min_words).alias(k) for k in names])
-        .select("_id", "_k", "_lines", _chunks([F.col(k) for k in names], F.col("_w"), min_words).alias("_c"))
+        lined.select("_id", "_k", "_lines", words.alias("_w"))
+        .select("_id", "_k", "_lines", places.alias("_at"), some.alias("_w"), F.reverse(some).alias("_r"))
+        .select("_id", "_k", "_lines", "_at", _grown(F.col("_w"), min_words).alias("_on"), _grown(F.col("_r"), min_words).alias("_back"))
+        .select("_id", "_k", "_lines", _chunks(F.col("_at"), F.col("_on"), F.col("_back"), F.size("_lines")).alias("_c"))
     )
-    chunk = _exploded(cut, "a", "b").select("_id", "_k", "a", "b", F.xxhash64("t").alias("h"), F.octet_length("t").alias("n"))
+    chunk = _exploded(cut, "a", "b", "c").select("_id", "_k", "a", "b", "c", F.xxhash64("t").alias("h"), F.octet_length("t").alias("n"))
     chunk = stored(chunk, "line_chunks")
     place = F.struct("_id", "_k", "a")
     repeated = chunk.groupBy("h", "n").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h", "n", "first")
-    found = chunk.join(repeated, ["h", "n"]).select("h", "n", "_id", "_k", "a", "b", (F.struct("_id", "_k", "a") == F.col("first")).alias("is_first"))
-    per_doc = found.groupBy("_id", "_k").agg(F.collect_set(F.struct("h", "n", "a", "b", "is_first")).alias("_c"))
+    own = F.col("first._id").eqNullSafe(F.col("_id")) & (F.col("first._k") == F.col("_k"))
+    # Where the lines to remove begin: behind the first occurrence, if that overlaps.
+    begin = F.when(own, F.greatest("a", F.col("first.a") + F.col("b") - F.col("a"))).otherwise(F.col("a"))
+    is_first = (own & (F.col("first.a") == F.col("a"))).alias("is_first")
+    found = chunk.join(repeated, ["h", "n"]).select("h", "n", "_id", "_k", "a", "b", "c", begin.alias("begin"), is_first)
+    per_doc = found.groupBy("_id", "_k").agg(F.collect_set(F.struct("h", "n", "a", "b", "c", "begin", "is_first")).alias("_c"))
     own = docs.alias("d").join(per_doc.alias("c"), (F.col("d._k") == F.col("c._k")) & F.col("d._id").eqNullSafe(F.col("c._id")))
     cut = own.select("d._id", "d._k", F.split("d._text", "\n").alias("_lines"), "c._c")
-    texts = stored(_exploded(cut, "h", "n", "a", "b", "is_first"), "line_texts")
+    texts = stored(_exploded(cut, "h", "n", "b", "c", "begin", "is_first"), "line_texts")
     first = texts.where("is_first").groupBy("h", "n").agg(F.min("t").alias("t1"))
     same = texts.where("NOT is_first").join(first, ["h", "n"]).where("t = t1")
-    return same.groupBy("_id", "_k").agg(F.collect_set(F.struct("a", "b")).alias("_gone"))
+    gone = same.groupBy("_id", "_k").agg(F.collect_set(F.struct(F.col("begin").alias("a"), "b", "c")).alias("_gone"))
+    return gone.select("_id", "_k", _merged(F.col("_gone")).alias("_gone"))
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
