@@ -407,6 +407,15 @@ def test_repeats_that_overlap_leave_the_first(spark):
     assert got == {1: "\n".join(["x"] * 25), 2: made[1][1]}
 
 
+def test_lines_beside_counting_lines(spark):
+    # Lines of 20 words between, before and behind lines of 60 words, which count alone.
+    passage = [prose(3300 + k, 60 if k % 2 else 20) for k in range(9)]
+    own = {k: [prose(3400 + 2 * k + j, 30) for j in range(2)] for k in range(4)}
+    made = [(k, "\n".join([own[k][0], *passage, own[k][1]])) for k in range(4)]
+    got = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert got == {k: made[0][1] if k == 0 else "\n".join(own[k]) for k in range(4)}
+
+
 def test_equal_hashes_need_equal_bytes(spark, monkeypatch):
     from pyspark.sql import functions as F
 
