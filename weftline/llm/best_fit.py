@@ -2,8 +2,8 @@
 
 Documents become pieces of at most LIMIT tokens; only documents over the limit are cut, and their full pieces are sequences
 of their own. The other pieces are dealt by a hash into groups of bounded size. Each group is packed best-fit in falling
-order; then the local search moves one document, or exchanges one for one or two for one, between underfull bins wherever
-that increases the sum of squared fills, until a pass finds nothing. What lies in bins that stay underfull is dealt again into
+order; then the local search moves one document from an emptier to a fuller bin, or exchanges one for one or two of the fuller,
+between any two underfull bins, wherever that fills the fuller one, until a pass finds nothing. What lies in bins that stay underfull is dealt again into
 fewer groups and repacked, so the waste of all groups shrinks to that of one; full bins are final.
 
 Memory: a group holds about GROUP lengths in the first round and 16 times as many at most later (100 bytes each), whatever the
@@ -17,6 +17,7 @@ their own, told apart by a row number that is stored with them. An empty table h
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ GROUP = 4096
 FULL = 0.998
 #: Texts of a batch that goes to Python.
 BATCH = 1000
-#: Tries of the local search per bin and pass; passes end sooner when nothing gains.
-PASSES = 3
+#: Above every key of a bin.
+NONE = 1 << 62
 
 
 def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
@@ -96,53 +97,91 @@ class Bins:
         self._enter(b)
 
 
-def improve(items: list[list[tuple[int, int]]], limit: int, passes: int = PASSES) -> list[list[tuple[int, int]]]:
-    """Local search over underfull bins. Bin a, the emptiest first, gives to fuller bins b: one document moves, or one of a
-    goes for a shorter one of b, or for two of b. Each change raises the sum of squared fills; a bin that empties is gone."""
+class Holders:
+    """For each length, the underfull bins that hold an item of it, in order of (fill, bin); least has the first of each."""
+
+    def __init__(self, held: list[dict[int, list[int]]], fill: list[int], limit: int):
+        self.held, self.fill = held, fill
+        self.of: list[list[int]] = [[] for _ in range(limit + 1)]
+        self.least = np.full(limit + 1, NONE, dtype=np.int64)
+        for b in range(len(held)):
+            if fill[b] < limit:
+                for x in held[b]:
+                    self.of[x].append(self.key(b))
+        for x, keys in enumerate(self.of):
+            keys.sort()
+            self.least[x] = keys[0] if keys else NONE
+
+    def key(self, b: int) -> int:
+        return (self.fill[b] << 32) + b
+
+    def enter(self, b: int) -> None:
+        key = self.key(b)
+        for x in self.held[b]:
+            insort(self.of[x], key)
+            self.least[x] = self.of[x][0]
+
+    def leave(self, b: int) -> None:
+        key = self.key(b)
+        for x in self.held[b]:
+            keys = self.of[x]
+            del keys[bisect_left(keys, key)]
+            self.least[x] = keys[0] if keys else NONE
+
+
+def improve(items: list[list[tuple[int, int]]], limit: int) -> list[list[tuple[int, int]]]:
+    """Local search over all underfull bins. Bin b, the fullest first, takes from emptier bins: one document moves, or one goes for a
+    shorter one of b, or for two of b; of all these the one that fills b most, from the emptiest bin that has it. Each change raises
+    the sum of squared fills, so passes end, when one gains nothing; a bin that empties is gone. A bin has under sqrt(2 limit)
+    distinct lengths, which bounds the work of a try."""
     fill = [sum(x for x, _ in b) for b in items]
-    for _ in range(passes):
+    held: list[dict[int, list[int]]] = []
+    for b in items:
+        own: dict[int, list[int]] = {}
+        for x, item in b:
+            own.setdefault(x, []).append(item)
+        held.append(own)
+    holders = Holders(held, fill, limit)
+    lengths = np.arange(limit + 1)
+
+    def give(a: int, b: int, x: int) -> None:
+        held[b].setdefault(x, []).append(held[a][x].pop())
+        if not held[a][x]:
+            del held[a][x]
+        fill[a], fill[b] = fill[a] - x, fill[b] + x
+
+    def taken(b: int) -> bool:
+        """Makes the best change for bin b, if there is any."""
+        free = limit - fill[b]
+        # The longest item, up to each length, that an emptier bin (or one as full, of a lower number) holds.
+        longest = np.maximum.accumulate(np.where(holders.least < holders.key(b), lengths, 0))
+        back = [(), *((y,) for y in held[b])]
+        own = sorted(held[b])
+        back += [(y, z) for k, y in enumerate(own) for z in own[k if len(held[b][y]) > 1 else k + 1 :] if y + z < longest[-1]]
+        sizes = np.array([sum(s) for s in back])
+        gains = longest[np.minimum(sizes + free, limit)] - sizes
+        best = int(np.argmax(gains))
+        gain = int(gains[best])
+        if gain <= 0:
+            return False
+        x = gain + int(sizes[best])
+        a = holders.of[x][0] & 0xFFFFFFFF
+        holders.leave(a), holders.leave(b)
+        give(a, b, x)
+        for y in back[best]:
+            give(b, a, y)
+        if fill[b] < limit:
+            holders.enter(b)
+        holders.enter(a)
+        return True
+
+    gained = True
+    while gained:
         gained = False
-        order = sorted((k for k in range(len(items)) if 0 < fill[k] < limit), key=lambda k: fill[k])
-        for at, a in enumerate(order):
-            targets = [b for b in order[at + 1 :] if fill[b] < limit][-64:]
-            for b in targets:
-                if not items[a] or fill[b] < fill[a]:
-                    continue
-                free = limit - fill[b]
-                if not free:
-                    continue
-                # A move: the longest document of a that fits.
-                fits = [x for x in items[a] if x[0] <= free]
-                if fits:
-                    x = max(fits)
-                    items[a].remove(x), items[b].append(x)
-                    fill[a], fill[b] = fill[a] - x[0], fill[b] + x[0]
-                    gained = True
-                    continue
-                # One for one, or two of b for one of a: b's net gain is the most that fits.
-                best = (0, None, ())
-                held = sorted(items[b])
-                small = held[:12]
-                for x in items[a]:
-                    for y in held:
-                        gain = x[0] - y[0]
-                        if best[0] < gain <= free:
-                            best = (gain, x, (y,))
-                    for k, y in enumerate(small):
-                        for z in small[k + 1 :]:
-                            gain = x[0] - y[0] - z[0]
-                            if best[0] < gain <= free:
-                                best = (gain, x, (y, z))
-                gain, x, back = best
-                if x:
-                    items[a].remove(x), items[b].append(x)
-                    for y in back:
-                        items[b].remove(y), items[a].append(y)
-                    fill[a], fill[b] = fill[a] - gain, fill[b] + gain
-                    gained = True
-        if not gained:
-            break
-    return [b for b in items if b]
+        for b in sorted((k for k in range(len(items)) if 0 < fill[k] < limit), key=lambda k: -fill[k]):
+            while 0 < fill[b] < limit and taken(b):
+                gained = True
+    return [[(x, item) for x, own in b.items() for item in own] for b in held if b]
 
 
 def pack(lens: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
