@@ -5,7 +5,8 @@ between kept anchors are aligned in the same way, down to gaps without a common
 still match. Coverage is the share of the template's words that are matched.
 
 A text is aligned only where a template can lie: a window of 1.5 template lengths that holds at least min_coverage of the
-template's words. A window below that cannot reach min_coverage, so this loses nothing. Windows that overlap are aligned as one
+template's words. A window below that cannot reach min_coverage. Coverage is that of a window: a
+license whose parts are further apart, by text put in between, is missed. Windows that overlap are aligned as one
 stretch. Texts are mapped in Arrow batches without a shuffle; work and memory follow a text's length.
 
 Defined results. Null, empty or wordless text: no license. Repeated rows give a row each. Of templates that match equally,
