@@ -516,3 +516,36 @@ def test_components(spark):
 
 def test_unescape_matches_html():
     assert html_extract.blocks("<p>&lt;p&gt; &amp &copy;</p>")[0].text == html.unescape("&lt;p&gt; &amp &copy;")
+
+
+@pytest.mark.parametrize("small", [64, 4])
+def test_templates_with_own_words(spark, monkeypatch, small):
+    """Documents that share most of a template, some of which link: groups are divided by the second and third order's shingles."""
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "BLOCK", 40)
+    made = [(k, prose(60, 100) + " " + " ".join(f"own{k if j > k % 9 else k // 4}x{j}" for j in range(13))) for k in range(160)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    assert rows(ngram_join.ngram_jaccard_join(frame).drop("node")) == plain_join(made)
+
+
+def test_index_prefixes():
+    """Of two sets that overlap enough, the first shingles of the smaller one meet the prefix of the other."""
+    rule, r = ngram_join.Rule(), np.random.default_rng(5)
+    for _ in range(3000):
+        n = int(r.integers(1, 60))
+        x = set(r.choice(80, n, replace=False).tolist())
+        y = set(x)
+        for w in r.choice(80, int(r.integers(0, 8)), replace=False).tolist():
+            y ^= {w}
+        x, y = sorted((sorted(x), sorted(y)), key=len)
+        if rule.links(len(set(x) & set(y)), len(x), len(y)):
+            assert set(x[: rule.index(len(x))]) & set(y[: rule.prefix(len(y))])
+
+
+def test_tables_between_steps_go(spark, docs, tmp_path, monkeypatch):
+    from weftline.llm import common
+
+    monkeypatch.setattr(common, "scratch_root", lambda _: f"file://{tmp_path}")
+    got = ngram_join.ngram_jaccard_join(docs).drop("node")
+    assert {p.name for p in tmp_path.glob("weftline/*/*")} == {"document_sets", "component_ids"}
+    assert rows(got) == plain_join(texts())

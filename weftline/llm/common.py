@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,14 +15,17 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 
 
+#: Spark's setting that deletes a query's shuffle files when it ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that the cluster shares, from spark.checkpoint.dir; a local one only where that is unset (tests)."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that the cluster shares, from spark.checkpoint.dir; a local one only where that is unset and the master is local."""
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
-    with contextlib.suppress(Exception):
-        if path := spark.conf.get("spark.checkpoint.dir", None):
-            return path.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     made = getattr(spark.sparkContext, "_weftline_scratch", None)
     if made is None:
         made = "file://" + tempfile.mkdtemp(prefix="weftline-")
@@ -33,18 +37,55 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/weftline/{uuid.uuid4().hex}/{name}"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """While it holds, the session's setting name is value."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: lineage ends there, and a lost executor costs no more than one read."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a table in the shared folder: lineage ends there, a lost executor costs no more than one read, and the shuffle files of
+    the step go when it ends. discard() deletes the table."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with setting(spark, _CLEAN, "true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._weftline_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that stored() made, when nothing that is still to be computed reads them; other DataFrames are left alone."""
+    for t in tables:
+        if path := getattr(t, "_weftline_path", None):
+            _delete(t.sparkSession, path.rsplit("/", 1)[0])
 
 
 def release(spark: SparkSession) -> None:
     """Delete all scratch tables under the shared folder; call it when no result is pending."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/weftline")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{scratch_root(spark)}/weftline")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many signs behind it as it takes to differ from all columns of df, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def give_back() -> None:
@@ -58,16 +99,9 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-@contextlib.contextmanager
-def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+def arrow_batches(spark: SparkSession, rows: int) -> contextlib.AbstractContextManager[None]:
     """While it holds, Python steps that are run get batches of at most rows rows: for rows that are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def ascii_lower(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import stored
+from weftline.llm.common import discard, stored
 
 
 def _sum(edges: DataFrame) -> tuple:
@@ -30,9 +30,12 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: node u and its smaller neighbours go to the least of them.
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(small.select("u", F.col("m").alias("v"))).distinct()
-        now = stored(hung, "small_star")
+        last, now = now, stored(hung, "small_star")
+        discard(last, large)
         after = _sum(now)
         if after == before:
             break
         before = after
-    return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    found = now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    found._weftline_path = now._weftline_path  # discard() of the result deletes the table behind it
+    return found

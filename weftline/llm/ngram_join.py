@@ -3,17 +3,22 @@
 1. Sets. A document's shingles are 64-bit hashes, made in numpy over the whole text. Documents with equal sets are one node (a
    hash of the set), so copies cost nothing further.
 2. Orders. A fixed-size sketch counts shingles over all documents. Three global orders of shingles all put those with rare
-   counts first and differ in how they break ties. If two sets overlap enough, then under each order they share a shingle
-   among the first n - ceil(t n) + 1 (n: size, t: threshold).
-3. Candidates. Under the first order the prefixes are grouped by shingle and class of sizes; groups with the same hub (a node picked by a
-   hash) become one. In each group every node meets the hub, later a few more, not all the others; a pair stays if the sizes allow
-   the threshold, the two prefixes of the second and of the third order meet as well, and the counts of shingles in BINS classes are
-   not too far apart (sets differ in at least as many shingles as the counts do, so this loses nothing).
+   counts first and differ in how they break ties. If sets x and y, x not the larger, overlap enough, then under each order one of the first
+   Rule.index(|x|) shingles of x is among the first Rule.prefix(|y|) of y.
+3. Candidates. Under the first order the prefixes are grouped by shingle and class of sizes. A group in which no node has the shingle
+   among its first Rule.index() ones has no pair and goes; groups with the same hub (a node picked by a hash) become one. In each group every node meets
+   the hub, later a few more, not all the others; a pair stays if the sizes allow the threshold, the prefixes of the second
+   and of the third order meet as well, and the counts of shingles in BINS classes are not too far apart (sets differ in at least as
+   many shingles as the counts do, so this loses nothing).
 4. Verification counts the overlap of the whole sets. Links are joined to components.
 5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then is compared exactly, only between
-   different components: small groups, mostly dissimilar nodes that share a rare shingle, by the same filters as before; large ones in
-   blocks of BLOCK nodes, whose whole sets are searched and which give back only links that join components. So no link between different
-   components is lost, no pairs are emitted within a group of copies, and no task gets more than two blocks.
+   different components. Small groups, mostly dissimilar nodes that share a rare shingle, go by the same filters as before. Large ones are
+   divided by the shingles of the second order, and what is still large by those of the third: a pair that links meets in each. Groups of nodes that share
+   shingles under all three orders are compared in blocks of BLOCK nodes, whose whole sets are searched and which give back only links
+   that join components. So no link between different components is lost, no pairs are emitted within a group of copies, and no task
+   gets more than two blocks.
+
+Tables between steps are deleted as soon as no later step reads them.
 
 Sizes: the sketch is SLOTS bytes on each worker. Nodes and pairs in question are broadcast only if counted to be under
 BROADCAST_BYTES, else shuffled.
@@ -36,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import BROADCAST_BYTES, arrow_batches, give_back, stored
+from weftline.llm.common import BROADCAST_BYTES, arrow_batches, discard, free_name, give_back, stored
 from weftline.llm.components import components
 
 U = np.uint64
@@ -65,6 +70,13 @@ class Rule:
     def prefix(self, n: int) -> int:
         return n + (-self.percent * n // 100) + 1
 
+    def index(self, n: int) -> int:
+        """The prefix of a set of n shingles that need only meet the prefixes of sets that are not smaller."""
+        return n + (-2 * self.percent * n // (100 + self.percent)) + 1
+
+    def index_sql(self, n: str) -> Column:
+        return F.expr(f"{n} + 1 - ({2 * self.percent} * {n} + {99 + self.percent}) div {100 + self.percent}")
+
     def links(self, inter: int, a: int, b: int) -> bool:
         return inter > 0 and 100 * inter >= self.percent * (a + b - inter)
 
@@ -197,8 +209,8 @@ def rarity(partial: DataFrame) -> dict[int, bytes]:
 
 
 def prefixes(docs: DataFrame, rule: Rule, level: dict[int, bytes]) -> DataFrame:
-    """Stored: node, n, hist (shingles in each of BINS classes, to 255), and p1, p2, p3: the prefixes under the three orders. A task gives a
-    node once, as far as it remembers."""
+    """Stored: node, n, hist (shingles in each of BINS classes, to 255), and p1, p2, p3: the prefixes under the three orders, in
+    order. A task gives a node once, as far as it remembers."""
     shared = docs.sparkSession.sparkContext.broadcast(level)
     per = (1 << SLOT_BITS) // SLICES
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
@@ -225,7 +237,9 @@ def prefixes(docs: DataFrame, rule: Rule, level: dict[int, bytes]) -> DataFrame:
                 first = []
                 for salt in (0x0, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3):
                     tie = mix(s ^ U(salt))
-                    at = np.argpartition(rare | (tie >> U(8)), p - 1)[:p] if p < len(s) else np.arange(len(s))
+                    place = rare | (tie >> U(8))
+                    at = np.argpartition(place, p - 1)[:p]
+                    at = at[np.argsort(place[at], kind="stable")]
                     first.append(s[at].view(np.int64) if not salt else tie[at].view(np.int64).astype(np.int32))
                 hist = np.minimum(np.bincount((s & U(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
                 rows.append((node, len(s), hist.tobytes(), *first))
@@ -373,77 +387,121 @@ def _sets_of(docs: DataFrame, of_doc: DataFrame, nodes: DataFrame, rule: Rule) -
     text = d.join(f, (F.col("d.key") == F.col("f.key")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))).select("node", "text")
     sets = stored(full_sets(text, rule), "sets")
     # Only repeated rows make a node's set twice.
-    return sets if sets.count() == first.count() else stored(sets.dropDuplicates(["node"]), "sets")
+    if sets.count() != first.count():
+        once = stored(sets.dropDuplicates(["node"]), "sets")
+        discard(sets)
+        sets = once
+    discard(first)
+    return sets
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
+def _tokens(prefix: DataFrame, order: str, rule: Rule, *more: str) -> DataFrame:
+    """more, t, node, n, early: the shingles of one order's prefixes; early ones are among the first Rule.index()."""
+    rows = prefix.select(*more, F.posexplode(order).alias("pos", "t"), "node", "n")
+    return rows.select(*more, "t", "node", "n", (F.col("pos") < rule.index_sql("n")).alias("early"))
+
+
+def _groups(tokens: DataFrame, rule: Rule, *base: str) -> DataFrame:
+    """Stored: g, node. Any two nodes that may link, by one order's tokens, meet in some g; base: what their groups had in common before."""
+    some = tokens.groupBy(*base, "t").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("early").alias("any")).where("lo <> hi AND any").select(*base, "t")
+    # Sizes that differ too much can't link: of two nodes that can, the larger one is in the smaller one's class of sizes or in the next.
+    # The classes are a little wider than the threshold, against rounding. The smaller one's early tokens count one class up, where both are.
+    size_class = F.floor(F.log(F.col("n").cast("double")) / float(-np.log((rule.percent - 1) / 100))).cast("int")
+    slotted = tokens.join(some, [*base, "t"]).withColumn("c", size_class)
+    slotted = slotted.select(*base, "t", "node", "c", "early", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("slot"))
+    slotted = stored(slotted.select(F.xxhash64(*base, "t", "slot").alias("g"), "node", (F.col("early") & (F.col("slot") > F.col("c"))).alias("early")), "slotted")
+    # Groups of near copies have much the same nodes. Those with the same hub become one, which has every pair that they had.
+    hub = F.min(F.struct(F.xxhash64("node", F.lit("hub")).alias("h"), "node")).alias("hub")
+    real = slotted.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("early").alias("any"), hub).where("lo <> hi AND any").select("g", "hub")
+    members = stored(slotted.join(real, "g").select(F.col("hub.node").alias("g"), "node").distinct(), "groups")
+    discard(slotted)
+    return members
+
+
 def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: dict[int, bytes], rule: Rule, rounds: int = ROUNDS) -> DataFrame:
     """node, comp of each node that is linked; comp is the smallest node of its component."""
     spark = docs.sparkSession
     prefix = prefixes(docs, rule, level)
-    token = prefix.select(F.explode("p1").alias("t"), "node", "n")
-    shared = token.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("t")
-    # Sizes that differ too much can't link. A node is in the group of its class of sizes and in the next one's, so two that can link
-    # meet in one of them. The classes are a little wider than the threshold, against rounding.
-    size_class = F.floor(F.log(F.col("n").cast("double")) / float(-np.log((rule.percent - 1) / 100))).cast("int")
-    slotted = token.join(shared, "t").distinct().withColumn("c", size_class).select("t", "node", "c", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("slot"))
-    slotted = stored(slotted.select(F.xxhash64("t", "slot").alias("g"), "node", (F.col("c") == F.col("slot")).alias("own")), "members")
-    real = slotted.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("own").alias("own")).where("lo <> hi AND own").select("g")
-    grouped = slotted.select("g", "node").join(real, "g")
-    # Groups of near copies have much the same nodes. Those with the same hub become one, which has every pair that they had.
-    hub = grouped.groupBy("g").agg(F.min(F.struct(F.xxhash64("node", F.lit("hub")).alias("h"), "node")).alias("hub"))
-    members = stored(grouped.join(hub, "g").select(F.col("hub.node").alias("g"), "node").distinct(), "groups")
+    members = _groups(_tokens(prefix, "p1", rule), rule)
     comp = spark.createDataFrame([], "node long, comp long")
-    tried = spark.createDataFrame([], "a long, b long")
+    tried: list[DataFrame] = []
 
-    def merged(new: DataFrame) -> DataFrame:
+    def merged(links: DataFrame) -> DataFrame:
         # Components so far are stars, so old links need not be carried along.
-        return stored(components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(new)), "components")
+        new = components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
+        discard(comp, links)
+        return new
 
-    def open_groups(least: int) -> DataFrame:
+    def open_groups(members: DataFrame, least: int) -> DataFrame:
         """g, node, comp, size of the groups that are in several components."""
         known = members.join(comp, "node", "left").select("g", "node", F.coalesce("comp", "node").alias("comp"))
         still = known.groupBy("g").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")).where(f"c1 <> c2 AND size >= {least}")
         return stored(known.join(still.select("g", "size"), "g"), "open_groups")
 
+    def new_pairs(pairs: DataFrame) -> DataFrame:
+        for t in tried:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        tried.append(stored(pairs, "pairs"))
+        return tried[-1]
+
     def verified(pairs: DataFrame) -> DataFrame:
-        return stored(_overlaps(_sets_of(docs, of_doc, _ends(pairs), rule), pairs, rule), "links")
+        sets = _sets_of(docs, of_doc, _ends(pairs), rule)
+        links = stored(_overlaps(sets, pairs, rule), "links")
+        discard(sets, pairs)
+        return links
 
     def in_all_orders(pairs: DataFrame) -> DataFrame:
         """pairs that the sizes, the prefixes under the other two orders and the counts by class allow."""
         some = _hint(pairs, 24)
         x = prefix.join(some, prefix["node"] == some["a"]).select("a", "b", F.col("n").alias("na"), F.col("p2").alias("a2"), F.col("p3").alias("a3"), F.col("hist").alias("ha"))
         y = prefix.join(some, prefix["node"] == some["b"]).select("a", "b", F.col("n").alias("nb"), F.col("p2").alias("b2"), F.col("p3").alias("b3"), F.col("hist").alias("hb"))
-        both = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3"))
+        early = lambda array, n: F.slice(array, F.lit(1), rule.index_sql(n).cast("int"))
+        meet = lambda a, b: F.when(F.col("na") <= F.col("nb"), F.arrays_overlap(early(a, "na"), b)).otherwise(F.arrays_overlap(a, early(b, "nb")))
+        both = x.join(y, ["a", "b"]).where(_near(F.col("na"), F.col("nb"), rule) & meet("a2", "b2") & meet("a3", "b3"))
         left = both.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_not_too_far(rule), "a long, b long")
         return stored(left.distinct(), "candidates")
 
+    def compared(small: DataFrame) -> DataFrame:
+        """The components after small groups are compared exactly."""
+        pairs = new_pairs(_small_candidates(small, prefix, rule))
+        return comp if pairs.isEmpty() else merged(verified(in_all_orders(pairs)))
+
     for k in range(rounds):
         # A group of two has met already.
-        left = open_groups(3 if k else 2)
+        left = open_groups(members, 3 if k else 2)
         if left.isEmpty():
-            return comp
+            break
         if k == 0:
             met = left.where("g <> node").select(F.least("g", "node").alias("a"), F.greatest("g", "node").alias("b")).distinct()
         else:
             part = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(HUBS))
             hub = left.groupBy("g", part.alias("part")).agg(F.min(F.struct(F.xxhash64("node", F.lit(-1 - k)).alias("h"), "node", "comp")).alias("hub"))
             met = left.join(hub, "g").where("hub.comp <> comp").select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-        pairs = stored(met.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs)
-        comp = merged(verified(in_all_orders(pairs)))
-    left = open_groups(3 if rounds else 2)
-    small, large = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
-    pairs = stored(_small_candidates(small, prefix, rule).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not pairs.isEmpty():
+        pairs = new_pairs(met)
+        discard(left)
         comp = merged(verified(in_all_orders(pairs)))
-    if not large.isEmpty():
-        left = open_groups(SMALL + 1)
-        sets = _sets_of(docs, of_doc, left.select("node").distinct(), rule)
-        comp = merged(stored(_leftover_links(left, sets, rule), "links"))
+    for order in ("p2", "p3", None):
+        left = open_groups(members, 2)
+        small, large = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
+        comp = compared(small)
+        if large.isEmpty():
+            discard(left)
+            break
+        if order:
+            own = prefix.select("node", "n", order).join(_hint(large.select("g", "node"), 32), "node").dropDuplicates(["g", "node"])
+            members, before = _groups(_tokens(own, order, rule, "g"), rule, "g"), members
+            discard(left, before)
+        else:
+            last = open_groups(members, SMALL + 1)
+            sets = _sets_of(docs, of_doc, last.select("node").distinct(), rule)
+            links = stored(_leftover_links(last, sets, rule), "links")
+            discard(left, last, sets)
+            comp = merged(links)
+    discard(prefix, members, *tried)
     return comp
 
 
@@ -458,6 +516,7 @@ def ngram_jaccard_join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # Only components of several nodes need a minimum over them.
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     per_node = stored(named.join(least, "comp").select("node", "component_id"), "component_ids")
+    discard(comp, named)
     return of_doc.join(per_node, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "node")
 
 
@@ -471,9 +530,10 @@ def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")
     # The first row of each node, then of each component, both aggregated before the shuffle.
     nodes = of_doc.groupBy("node").agg(F.min(order).alias("first")).join(comp, "node", "left").select(F.coalesce("comp", "node").alias("comp"), "first")
-    kept = nodes.groupBy("comp").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept_id"), F.col("first.key").alias("_kept_key"))
-    some = of_doc.select(F.col("doc_id").alias("_own_id"), F.col("key").alias("_own_key")).distinct()
-    gone = stored(some.join(kept, (F.col("_own_key") == F.col("_kept_key")) & F.col("_own_id").eqNullSafe(F.col("_kept_id")), "left_anti"), "dropped")
-    once = docs.withColumn("_own", F.xxhash64("doc_id", "text"))
-    left = once.join(_hint(gone, 40), (F.col("_own") == F.col("_own_key")) & F.col("doc_id").eqNullSafe(F.col("_own_id")), "left_anti")
-    return left.drop("_own")
+    kept = nodes.groupBy("comp").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("id"), F.col("first.key").alias("key"))
+    some = of_doc.select(F.col("doc_id").alias("id"), "key").distinct()
+    gone = some.alias("s").join(kept.alias("k"), (F.col("s.key") == F.col("k.key")) & F.col("s.id").eqNullSafe(F.col("k.id")), "left_anti")
+    own_id, own_key = free_name(docs, "dropped_id"), free_name(docs, "dropped_key")
+    gone = stored(gone.select(F.col("id").alias(own_id), F.col("key").alias(own_key)), "dropped")
+    discard(found, comp)
+    return docs.join(_hint(gone, 40), (F.xxhash64(docs["doc_id"], docs["text"]) == gone[own_key]) & docs["doc_id"].eqNullSafe(gone[own_id]), "left_anti")
