@@ -290,6 +290,22 @@ def test_packing(spark, docs, no_docs, tokenizer):
     assert not best_fit.best_fit_packing(no_docs).collect()
 
 
+def test_sequence_ids_of_many_bins(spark):
+    # Pieces of over half a sequence: as many bins as pieces, far more than 2^16, in rounds that settle nothing.
+    parts = spark.range(131_072).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "2100L AS length", "0L AS ids_crc32")
+    got = best_fit.packed(parts).agg({"sequence_id": "count"}).first()[0], best_fit.packed(parts).select("sequence_id").distinct().count()
+    assert got == (131_072, 131_072)
+
+
+def test_search_empties_bins_that_best_fit_leaves():
+    for seed in range(3):
+        lens = np.random.default_rng(seed).integers(700, 1800, 1000, endpoint=True)
+        bins = best_fit.Bins(best_fit.LIMIT)
+        for item in np.argsort(-lens, kind="stable"):
+            bins.best_fit(int(lens[item]), int(item))
+        assert len(best_fit.improve([list(b) for b in bins.items], best_fit.LIMIT)) < len(bins.items)
+
+
 def test_local_search_empties_bins():
     # 6+3 | 5+3 | 4+2 with room 10: best fit in this order needs three bins, exchanges make 6+4 | 5+3+2 and 3 alone, or better.
     items = [[(6, 0), (3, 1)], [(5, 2), (3, 3)], [(4, 4), (2, 5)]]
@@ -518,11 +534,11 @@ def test_unescape_matches_html():
     assert html_extract.blocks("<p>&lt;p&gt; &amp &copy;</p>")[0].text == html.unescape("&lt;p&gt; &amp &copy;")
 
 
-@pytest.mark.parametrize("small", [64, 4])
-def test_templates_with_own_words(spark, monkeypatch, small):
+@pytest.mark.parametrize(("small", "block"), [(64, 40), (4, 40), (2, 5)])
+def test_templates_with_own_words(spark, monkeypatch, small, block):
     """Documents that share most of a template, some of which link: groups are divided by the second and third order's shingles."""
     monkeypatch.setattr(ngram_join, "SMALL", small)
-    monkeypatch.setattr(ngram_join, "BLOCK", 40)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     made = [(k, prose(60, 100) + " " + " ".join(f"own{k if j > k % 9 else k // 4}x{j}" for j in range(13))) for k in range(160)]
     frame = spark.createDataFrame(made, "doc_id long, text string")
     assert rows(ngram_join.ngram_jaccard_join(frame).drop("node")) == plain_join(made)

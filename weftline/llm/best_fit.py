@@ -2,9 +2,10 @@
 
 Documents become pieces of at most LIMIT tokens; only documents over the limit are cut, and their full pieces are sequences
 of their own. The other pieces are dealt by a hash into groups of bounded size. Each group is packed best-fit in falling
-order; then the local search moves one document from an emptier to a fuller bin, or exchanges one for one or two of the fuller,
-between any two underfull bins, wherever that fills the fuller one, until a pass finds nothing. What lies in bins that stay underfull is dealt again into
-fewer groups and repacked, so the waste of all groups shrinks to that of one; full bins are final.
+order; then the local search looks at every bin below the limit, the fullest first: a document moves to it from an emptier bin, or
+is exchanged for one or two of its own, wherever that fills the fuller one, until a pass finds nothing. Bins are found by item length and fill, so no
+bin or document is left out of the search. What lies in bins below FULL of the limit is dealt again into fewer, larger groups and repacked, so
+the waste of all groups shrinks to that of one.
 
 Memory: a group holds about GROUP lengths in the first round and 16 times as many at most later (100 bytes each), whatever the
 table's size. Texts are never shuffled, only
@@ -19,6 +20,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,7 @@ from weftline.llm.encoding import encoder, vocabulary_path
 LIMIT = 4096
 END_ID = 1
 GROUP = 4096
-#: A bin this full is final in every round but the last.
+#: A bin is underfull, and dealt again after its group is packed, below this share of the limit.
 FULL = 0.998
 #: Texts of a batch that goes to Python.
 BATCH = 1000
@@ -201,45 +203,37 @@ def pack(lens: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray,
     return number, place, fill
 
 
-def packed(parts: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame:
-    """sequence_id and offset for the rows of pieces(); sequence ids are round * 2^56 + group * 2^16 + bin or, for full pieces,
-    negative."""
+def packed(parts: DataFrame, limit: int = LIMIT, group: int = GROUP, full: float = FULL) -> DataFrame:
+    """sequence_id and offset for the rows of pieces(); a sequence's id is the row number of one of its pieces, so no two are the same."""
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, _row long, _fill long, sequence_id long, offset long"
 
-    def one(level: int):
-        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["length", "_row"], kind="stable", ignore_index=True)
-            number, place, fill = pack(rows["length"].to_numpy(dtype=np.int64), limit)
-            return rows.drop(columns=["_group"]).assign(_fill=fill, sequence_id=(level << 56) + (int(key[0]) << 16) + number, offset=place)[
-                ["doc_id", "piece", "start", "length", "ids_crc32", "_row", "_fill", "sequence_id", "offset"]
-            ]
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["length", "_row"], kind="stable", ignore_index=True)
+        number, place, fill = pack(rows["length"].to_numpy(dtype=np.int64), limit)
+        first = rows["_row"].groupby(number).transform("min")
+        return rows.drop(columns=["_group"]).assign(_fill=fill, sequence_id=first, offset=place)[[*columns, "_row", "_fill", "sequence_id", "offset"]]
 
-        return run
-
-    with arrow_batches(parts.sparkSession, BATCH):
+    spark = parts.sparkSession
+    with arrow_batches(spark, BATCH):
         numbered = stored(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
-    whole = numbered.where(F.col("length") == limit).select(*columns, (-F.col("_row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    n_rest = numbered.where(F.col("length") < limit).count()
+    settled = [numbered.where(F.col("length") == limit).select(*columns, F.col("_row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     most = 16 * group
-    rest, level, result = numbered.where(F.col("length") < limit), 0, whole
+    rest, level = numbered.where(F.col("length") < limit), 0
+    n_rest = rest.count()
     while n_rest:
         n_groups = max(1, -(-n_rest // group))
-        last = n_groups == 1
         dealt = rest.select(*columns, "_row", F.pmod(F.xxhash64("_row", F.lit(level)), F.lit(n_groups)).alias("_group"))
-        done = stored(dealt.groupBy("_group").applyInPandas(one(level), schema), f"packed{level}")
-        final = done if last else done.where(F.col("_fill") >= int(FULL * limit))
-        result = result.unionByName(final.select(*columns, "sequence_id", "offset"))
-        if last:
-            break
-        rest = done.where(F.col("_fill") < int(FULL * limit))
-        left = rest.count()
-        # Later rounds take more bins together. Where the largest groups settle little, no more is to be gained.
-        if left > 0.9 * n_rest and group >= most:
-            result = result.unionByName(rest.select(*columns, "sequence_id", "offset"))
+        done = stored(dealt.groupBy("_group").applyInPandas(run, schema), f"packed{level}")
+        underfull = F.col("_fill") < int(full * limit)
+        left = done.where(underfull).count()
+        # One group can't be packed better by another round; nor can the largest groups, where they settle little.
+        if n_groups == 1 or (left > 0.9 * n_rest and group >= most):
+            settled.append(done.select(*columns, "sequence_id", "offset"))
             break
-        n_rest, level, group = left, level + 1, min(2 * group, most)
-    return result
+        settled.append(done.where(~underfull).select(*columns, "sequence_id", "offset"))
+        rest, n_rest, level, group = done.where(underfull), left, level + 1, min(2 * group, most)
+    return reduce(DataFrame.unionByName, settled)
 
 
 def best_fit_packing(docs: DataFrame, path: str | None = None, limit: int = LIMIT, group: int = GROUP) -> DataFrame:

@@ -12,11 +12,12 @@
    many shingles as the counts do, so this loses nothing).
 4. Verification counts the overlap of the whole sets. Links are joined to components.
 5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then is compared exactly, only between
-   different components. Small groups, mostly dissimilar nodes that share a rare shingle, go by the same filters as before. Large ones are
-   divided by the shingles of the second order, and what is still large by those of the third: a pair that links meets in each. Groups of nodes that share
-   shingles under all three orders are compared in blocks of BLOCK nodes, whose whole sets are searched and which give back only links
-   that join components. So no link between different components is lost, no pairs are emitted within a group of copies, and no task
-   gets more than two blocks.
+   different components. Small groups, mostly dissimilar nodes that share a rare shingle, go by the same filters as before. Of large ones, those with at most BLOCK nodes outside
+   their main component are compared in blocks of BLOCK nodes, whose whole sets are searched and which give back only links that join
+   components; a node is sent twice at most. The others are divided by the shingles of the second order, and what is still so by
+   those of the third: a pair that links meets in each. Only nodes that share shingles under all three orders, link with few and are more than
+   BLOCK go to several blocks. So no link between different components is lost, no pairs are emitted within a group of copies,
+   and no task gets more than two blocks.
 
 Tables between steps are deleted as soon as no later step reads them.
 
@@ -339,12 +340,22 @@ def _block_links(rows: pd.DataFrame, i: int, j: int, rule: Rule) -> list[tuple[i
     return out
 
 
+def _with_main(left: DataFrame) -> DataFrame:
+    """left with main, the largest component of the group, and rest, the number of nodes outside it."""
+    parts = left.groupBy("g", "comp").agg(F.count("*").alias("k"))
+    of_group = parts.groupBy("g").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("all"))
+    return left.join(of_group.select("g", F.col("m.comp").alias("main"), (F.col("all") - F.col("m.k")).alias("rest")), "g")
+
+
 def _leftover_links(left: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Links within the groups of left (g, node, comp), compared in blocks."""
-    sizes = left.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = left.join(sizes, "g").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("_other", other).withColumns({"i": F.least("block", "_other"), "j": F.greatest("block", "_other")})
+    """Links within the groups of left (g, node, comp, size, main, rest), compared in blocks. Nodes of the main component are not compared with
+    each other, so they go only to the blocks of the rest."""
+    own = F.col("comp") != F.col("main")
+    dealt = left.withColumns({"rb": F.ceil(F.col("rest") / BLOCK).cast("int"), "mb": F.ceil((F.col("size") - F.col("rest")) / BLOCK).cast("int")})
+    at = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    dealt = dealt.withColumn("block", F.when(own, at("rb")).otherwise(F.col("rb") + at("mb")))
+    other = F.explode(F.sequence(F.lit(0), F.when(own, F.col("rb") + F.col("mb")).otherwise(F.col("rb")) - 1))
+    dealt = dealt.withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     rows = dealt.join(sets, "node").select("g", "i", "j", "node", "comp", "block", "s")
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -407,7 +418,9 @@ def _tokens(prefix: DataFrame, order: str, rule: Rule, *more: str) -> DataFrame:
 
 def _groups(tokens: DataFrame, rule: Rule, *base: str) -> DataFrame:
     """Stored: g, node. Any two nodes that may link, by one order's tokens, meet in some g; base: what their groups had in common before."""
-    some = tokens.groupBy(*base, "t").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("early").alias("any")).where("lo <> hi AND any").select(*base, "t")
+    # Nodes that are in one component already need not meet.
+    apart = "comp" if "comp" in tokens.columns else "node"
+    some = tokens.groupBy(*base, "t").agg(F.min(apart).alias("lo"), F.max(apart).alias("hi"), F.max("early").alias("any")).where("lo <> hi AND any").select(*base, "t")
     # Sizes that differ too much can't link: of two nodes that can, the larger one is in the smaller one's class of sizes or in the next.
     # The classes are a little wider than the threshold, against rounding. The smaller one's early tokens count one class up, where both are.
     size_class = F.floor(F.log(F.col("n").cast("double")) / float(-np.log((rule.percent - 1) / 100))).cast("int")
@@ -474,6 +487,7 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: dict[int, bytes], r
         # A group of two has met already.
         left = open_groups(members, 3 if k else 2)
         if left.isEmpty():
+            discard(left)
             break
         if k == 0:
             met = left.where("g <> node").select(F.least("g", "node").alias("a"), F.greatest("g", "node").alias("b")).distinct()
@@ -486,21 +500,23 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: dict[int, bytes], r
         comp = merged(verified(in_all_orders(pairs)))
     for order in ("p2", "p3", None):
         left = open_groups(members, 2)
-        small, large = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
-        comp = compared(small)
-        if large.isEmpty():
-            discard(left)
-            break
-        if order:
-            own = prefix.select("node", "n", order).join(_hint(large.select("g", "node"), 32), "node").dropDuplicates(["g", "node"])
-            members, before = _groups(_tokens(own, order, rule, "g"), rule, "g"), members
-            discard(left, before)
-        else:
-            last = open_groups(members, SMALL + 1)
-            sets = _sets_of(docs, of_doc, last.select("node").distinct(), rule)
-            links = stored(_leftover_links(last, sets, rule), "links")
-            discard(left, last, sets)
+        comp = compared(left.where(F.col("size") <= SMALL))
+        large = stored(_with_main(left.where(F.col("size") > SMALL)), "large_groups")
+        discard(left)
+        # Groups with few nodes outside their main component are compared in blocks at once, which sends a node twice at most.
+        now = large.where(F.col("rest") <= BLOCK) if order else large
+        if not now.isEmpty():
+            sets = _sets_of(docs, of_doc, now.select("node").distinct(), rule)
+            links = stored(_leftover_links(now, sets, rule), "links")
+            discard(sets)
             comp = merged(links)
+        rest = large.where(F.col("rest") > BLOCK)
+        if not order or rest.isEmpty():
+            discard(large)
+            break
+        own = prefix.select("node", "n", order).join(_hint(rest.select("g", "node", "comp"), 40), "node").dropDuplicates(["g", "node"])
+        members, before = _groups(_tokens(own, order, rule, "g", "comp"), rule, "g"), members
+        discard(large, before)
     discard(prefix, members, *tried)
     return comp
 
