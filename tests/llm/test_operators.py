@@ -354,7 +354,8 @@ def test_sharding(spark, docs, no_docs, tmp_path):
     before = store.read()
     assert len(store.manifest()["runs"]) == 4
     assert store.compact() == 5 and len(store.manifest()["runs"]) == 1
-    assert store.manifest()["runs"][0]["arrivals"] == [0, 1, 2, 3]
+    run = store.manifest()["runs"][0]
+    assert (run["arrivals"], run["first"], run["last"]) == (4, 0, 3)
     assert rows(store.read()) == rows(before) == sorted(rows(docs) * 4, key=repr)
     assert rows(store.read(2)) == sorted(rows(docs) * 2, key=repr)  # an older version still reads
     store.append(docs.limit(0))
@@ -373,7 +374,23 @@ def test_sharded_by_arrival(spark, docs):
 
     store = sharding.sharded(docs, F.pmod("doc_id", F.lit(5)))
     assert rows(store.read()) == rows(docs)
-    assert sorted(a for r in store.manifest()["runs"] for a in r["arrivals"]) == [0, 1, 2, 3, 4]
+    assert sum(r["arrivals"] for r in store.manifest()["runs"]) == 5 and len(store.versions()) == 1
+    clash = docs.withColumns({"arrival": F.lit("x"), "ARRIVAL_": F.lit(None).cast("string"), "_arrival": F.lit(3)})
+    store = sharding.sharded(clash, F.pmod("doc_id", F.lit(5)), keep=3)
+    assert rows(store.read()) == rows(clash) and len(store.versions()) == 3
+    assert all(store.read(v).count() <= clash.count() for v in store.versions())
+
+
+def test_two_writers(spark, docs, tmp_path):
+    a, b = (sharding.ShardStore(spark, str(tmp_path / "s")) for _ in range(2))
+    a.append(docs)
+    stale = b.manifest()
+    a.append(docs)
+    b.vacuum(1)  # between a's next write and its commit nothing of a's is lost
+    with pytest.raises(sharding.CommitConflict):
+        b._commit(stale, [], stale["schema"])
+    b.append(docs)
+    assert a.versions() == [2, 3] and rows(a.read()) == sorted(rows(docs) * 3, key=repr)
 
 
 # 8: line dedup

@@ -5,12 +5,19 @@ A store is a folder: runs/<id>/ holds Parquet files that never change, manifest/
 commit writes the manifest under another name and renames it to the next version, which fails if that exists; so of two
 writers one wins, readers see a whole version or the one before, and files of a writer that died are in no manifest.
 
+Two writers need a file system whose rename without overwriting is atomic, as HDFS's is and a local one's; object stores need a commit service of
+their own.
+
 Compaction is size-tiered: runs are like in size if they lie within LIKE times their bucket's mean; a bucket of FANOUT runs
 is merged into one run. Each row is thus rewritten about log_FANOUT(number of arrivals) times. A merge reads and writes whole
-files and joins scan partitions without a shuffle. Manifests hold only runs, of which compaction leaves O(log arrivals).
+files and joins scan partitions without a shuffle. Manifests hold only runs, of which compaction leaves O(log arrivals), each with the
+number of its arrivals and the first and last of them; so their size follows the runs, not the arrivals.
+
+vacuum(keep) deletes versions but the last keep and the runs that only those had; compaction after each arrival does so with the store's
+keep. Runs that no manifest names, as another writer's that is still to commit, stay.
 
 Defined results. Rows are kept as they are, nulls, empty texts and repeated rows included, whatever their columns; the first
-arrival fixes the columns, and others must have the same. An empty arrival is committed without files. Null arrival numbers are
+arrival fixes the columns, and others must have the same; no column name is reserved. An empty arrival is committed without files. Null arrival numbers are
 arrival 0.
 """
 
@@ -18,14 +25,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import scratch_path
+from weftline.llm.common import free_name, scratch_path
 
 LIKE = (0.5, 1.5)
 FANOUT = 4
@@ -36,7 +43,9 @@ TARGET_BYTES = 128 << 20
 class Run:
     path: str
     bytes: int
-    arrivals: tuple[int, ...]
+    arrivals: int
+    first: int
+    last: int
 
 
 class CommitConflict(RuntimeError):
@@ -44,8 +53,8 @@ class CommitConflict(RuntimeError):
 
 
 class ShardStore:
-    def __init__(self, spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES, fanout: int = FANOUT):
-        self.spark, self.path, self.target_bytes, self.fanout = spark, path.rstrip("/"), target_bytes, fanout
+    def __init__(self, spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES, fanout: int = FANOUT, keep: int = 1):
+        self.spark, self.path, self.target_bytes, self.fanout, self.keep = spark, path.rstrip("/"), target_bytes, fanout, keep
         jvm = spark.sparkContext._jvm
         self._Path, self._jvm = jvm.org.apache.hadoop.fs.Path, jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -74,7 +83,7 @@ class ShardStore:
 
     def _commit(self, before: dict[str, Any], runs: list[Run], schema: str | None) -> int:
         version = before["version"] + 1
-        body = json.dumps({"version": version, "schema": schema, "runs": [{"path": r.path, "bytes": r.bytes, "arrivals": list(r.arrivals)} for r in runs]})
+        body = json.dumps({"version": version, "schema": schema, "runs": [asdict(r) for r in runs]})
         own = self._Path(f"{self.path}/manifest/.{version}.{uuid.uuid4().hex}")
         out = self._fs.create(own, False)
         try:
@@ -93,7 +102,7 @@ class ShardStore:
         return version
 
     def _runs(self, manifest: dict[str, Any]) -> list[Run]:
-        return [Run(r["path"], r["bytes"], tuple(r["arrivals"])) for r in manifest["runs"]]
+        return [Run(**r) for r in manifest["runs"]]
 
     def _bytes(self, path: str) -> int:
         return self._fs.getContentSummary(self._Path(path)).getLength() if self._fs.exists(self._Path(path)) else 0
@@ -103,7 +112,7 @@ class ShardStore:
     def append(self, df: DataFrame) -> int:
         """One arrival; its number is one more than the last. Returns the version."""
         now = self.manifest()
-        number = 1 + max((a for r in now["runs"] for a in r["arrivals"]), default=-1)
+        number = 1 + max((r["last"] for r in now["runs"]), default=-1)
         return self.append_many(df, F.lit(number))
 
     def append_many(self, df: DataFrame, arrival: Column, compact: bool = False) -> int:
@@ -114,19 +123,20 @@ class ShardStore:
         if now["schema"] not in (None, schema):
             raise ValueError("the columns differ from those of the store")
         base = f"{self.path}/runs/{uuid.uuid4().hex}"
-        df.withColumn("_arrival", F.coalesce(arrival.cast("int"), F.lit(0))).write.partitionBy("_arrival").parquet(base)
+        part = free_name(df, "arrival")
+        df.select("*", F.coalesce(arrival.cast("int"), F.lit(0)).alias(part)).write.partitionBy(part).parquet(base)
         found = [f.getPath().getName() for f in self._fs.listStatus(self._Path(base)) if f.isDirectory()]
-        numbers = sorted(int(n.removeprefix("_arrival=")) for n in found if n.startswith("_arrival="))
+        numbers = sorted(int(n.removeprefix(f"{part}=")) for n in found if n.startswith(f"{part}="))
         if not numbers:
             return self._commit(now, self._runs(now), schema)
         version = now["version"]
         for number in numbers:
-            path = f"{base}/_arrival={number}"
+            path = f"{base}/{part}={number}"
             now = self.manifest()
-            version = self._commit(now, [*self._runs(now), Run(path, self._bytes(path), (number,))], schema)
+            version = self._commit(now, [*self._runs(now), Run(path, self._bytes(path), 1, number, number)], schema)
             if compact:
                 version = self.compact()
-                self.vacuum()
+                self.vacuum(self.keep)
         return version
 
     # Compaction
@@ -153,12 +163,11 @@ class ShardStore:
             size = sum(r.bytes for r in chosen)
             path = f"{self.path}/runs/{uuid.uuid4().hex}"
             self._read(chosen, now["schema"]).coalesce(max(1, round(size / self.target_bytes))).write.parquet(path)
-            merged = Run(path, self._bytes(path), tuple(sorted(a for r in chosen for a in r.arrivals)))
+            merged = Run(path, self._bytes(path), sum(r.arrivals for r in chosen), min(r.first for r in chosen), max(r.last for r in chosen))
             self._commit(now, [*(r for r in runs if r not in chosen), merged], now["schema"])
 
     def vacuum(self, keep: int = 1) -> None:
-        """Delete runs and manifests that none of the last keep versions needs. A run that another writer has not committed yet would go
-        too: call it from the one that writes."""
+        """Delete manifests but the last keep, and the runs that only they name."""
         versions = self.versions()
         for v in versions[:-keep]:
             old = {r.path for r in self._runs(self.manifest(v))}
@@ -183,8 +192,9 @@ class ShardStore:
         return self._read(self._runs(now), now["schema"])
 
 
-def sharded(docs: DataFrame, arrival: Column, target_bytes: int = TARGET_BYTES) -> ShardStore:
-    """A store in the shared folder that has taken docs in as the arrivals that arrival numbers, compacted after each."""
-    store = ShardStore(docs.sparkSession, scratch_path(docs.sparkSession, "store"), target_bytes)
+def sharded(docs: DataFrame, arrival: Column, target_bytes: int = TARGET_BYTES, keep: int = 1) -> ShardStore:
+    """A store in the shared folder that has taken docs in as the arrivals that arrival numbers, compacted after each; the last keep
+    versions can be read."""
+    store = ShardStore(docs.sparkSession, scratch_path(docs.sparkSession, "store"), target_bytes, keep=keep)
     store.append_many(docs, arrival, compact=True)
     return store
