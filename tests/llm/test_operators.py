@@ -184,7 +184,68 @@ def test_html_extraction(spark):
 def test_pages_without_marks():
     body = "".join(f"<div>{prose(k, 60)}</div>" for k in range(3))
     page = "<div><a href=/>Home</a></div><div><a href=/n>News</a></div>" + body + "<div><a href=/t>Terms</a></div><div><a href=/p>Privacy</a></div>"
-    assert html_extract.main_text(page, html_extract.grow(html_extract.SAMPLE)) == "\n\n".join(prose(k, 60) for k in range(3))
+    assert html_extract.main_text(page, html_extract.grow(html_extract.labelled())) == "\n\n".join(prose(k, 60) for k in range(3))
+
+
+LAYOUTS = {
+    '<div class="layout has-sidebar"><p>{0}</p></div>': "{0}",
+    "<form id=aspnet><article>{0}</article></form>": "{0}",
+    '<article class="no-comments">{0}</article>': "{0}",
+    '<article class="post comments-open">{0}</article>': "{0}",
+    '<div class="content-sidebar-wrap"><p>{0}</p></div>': "{0}",
+    '<div data-x="the hidden story"><article>{0}</article></div>': "{0}",
+    '<p style="overflow: hidden ; x">{0}</p>': "{0}",
+    "<article><p>{0}</p><ul><li><a href=/>one</a><li><a>two</a><li><a>three</a></ul></article>": "{0}\n\none\n\ntwo\n\nthree",
+    '<article><p>{0}</p><section class="related-work"><p>x y z</p></section></article>': "{0}\n\nx y z",
+    "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <script>a<b</script>true.</p></article>": "Here x=2 holds true.",
+    '<article><div class="ad">buy</div><p>{0}</p><div hidden>{0}</div></article>': "{0}",
+    "<header><h1>Site</h1></header><div id=content><h1>T</h1><p>{0}</p></div><section id=comments><article class=comment><p>{0} {0}</p></article></section>": "T\n\n{0}",
+    "<div class=siteHeader>x</div><main><p>{0}<div id='cookie_notice' class=x><p>{0}</div></main><div>Read our letter</div>": "{0}",
+    "<article><p>{0}<table><tr><td>a<td>b<tr><td>c</table></article>": "{0}\n\na\n\nb\n\nc",
+    "<nav>a</nav>": "",
+}
+
+
+@pytest.mark.parametrize("page", LAYOUTS)
+def test_layouts(page):
+    words = prose(5, 16)
+    assert html_extract.main_text(page.replace("{0}", words), html_extract.grow(html_extract.labelled())) == LAYOUTS[page].replace("{0}", words)
+
+
+def test_nothing_of_named_main_text_is_lost():
+    """Whatever the words and links of a block and its neighbours, and whatever lies under furniture."""
+    tree, r = html_extract.grow(html_extract.labelled()), np.random.default_rng(2)
+    for _ in range(2000):
+        figures = [x for _ in range(3) for x in (int(r.integers(0, 90)), float(r.choice([0, 0.05, 0.3, 0.6, 1])))]
+        assert html_extract.kept(tree, (None, *figures, 0, 1))
+        assert not html_extract.kept(tree, (None, *figures, 0, -1))
+        assert not html_extract.kept(tree, (None, *figures, 1, -1))
+    rows = html_extract.labelled()
+    assert sum(html_extract.kept(tree, x) != x[0] for x in rows) == 0
+    held = [html_extract.kept(html_extract.grow(html_extract.labelled(html_extract.LAYOUTS[:k] + html_extract.LAYOUTS[k + 1 :])), x) == x[0] for k, own in enumerate(html_extract.LAYOUTS) for x in html_extract.labelled((own,))]
+    assert sum(held) / len(held) > 0.85  # each layout by a tree grown without it
+
+
+def plain_article(page):
+    """For pages that have one article of headings and paragraphs, as the tables do."""
+    inner = re.search(r"(?s)<article>(.*?)</article>", page)
+    parts = re.split(r"</?(?:h1|p)>", re.sub(r"<br>", " ", inner[1])) if inner else []
+    texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in parts]
+    return "\n\n".join(x for x in texts if x)
+
+
+def test_pages_of_the_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: plain_article(r.html) for r in pages.collect()}
+    got = html_extract.html_extraction(pages).collect()
+    assert {r.page_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got) and len(got) == len(want)
+
+
+def test_long_and_repeated_pages(spark):
+    long = "<article>" + "<p>word " * 200_000 + "</b>" * 50_000 + "<div class=ad>" * 20_000
+    pages = spark.createDataFrame([(1, None, long), (1, None, long), (None, "u", "<p>x y")], "page_id long, url string, html string")
+    got = sorted((r.page_id or 0, r.n_chars) for r in html_extract.html_extraction(pages).collect())
+    assert got == [(0, 3), (1, 6 * 200_000 - 2), (1, 6 * 200_000 - 2)]
 
 
 @given(st.text(alphabet="<>/a p\"'=!-b&;", max_size=80))
