@@ -291,6 +291,32 @@ def test_license_scan(spark, docs, no_docs):
     assert license_scan.license_scan(docs).count() == len(texts()) and not license_scan.license_scan(no_docs).collect()
 
 
+@pytest.mark.parametrize("name", [n for n, t in license_scan.TEMPLATES.items()])
+def test_each_template_is_told_from_its_relatives(name):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    found = scanner.scan(prose(20, 400) + "\n" + license_scan.TEMPLATES[name] + "\n" + prose(21, 300))
+    assert [m.name for m in found] == [name] and found[0].coverage == 1
+
+
+@pytest.mark.parametrize("name", ["MIT text", "BSD-3-Clause", "GPL-2.0 notice", "Zlib"])
+def test_parts_that_stand_apart(name):
+    """Words put in between, one by one or as a long stretch, change nothing: as the longest common subsequence has it."""
+    scanner, r = license_scan.Scanner(license_scan.TEMPLATES), np.random.default_rng(1)
+    template = license_scan.TEMPLATES[name].split()
+    half = len(template) // 2
+    every = " ".join(f"{w} x{k}" for k, w in enumerate(template))
+    clause = " ".join(template[:half]) + "\n" + prose(30, 3 * len(template)) + "\n" + " ".join(template[half:])
+    lines = "\n".join(f"# {k} " + " ".join(template[k : k + 8]) for k in range(0, len(template), 8))
+    twice = prose(31, 900) + "\n" + " ".join(template) + "\n" + prose(32, 900) + "\n" + " ".join(template)
+    at = set(r.choice(len(template), len(template) // 10, replace=False).tolist())
+    edited = " ".join(f"y{k}" if k in at else w for k, w in enumerate(template))
+    for text in (every, clause, lines, twice, edited):
+        found = scanner.scan(text)
+        words = license_scan.words_of(license_scan.TEMPLATES[name])
+        assert found and found[0].name == name and len(found[0].pairs) >= 0.97 * plain_lcs(license_scan.words_of(text), words), text[:80]
+    assert not scanner.scan(" ".join(w for k, w in enumerate(template) if k % 10 > 2))
+
+
 # 6 and 10: packing, token counts
 
 
