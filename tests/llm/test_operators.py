@@ -138,7 +138,7 @@ def test_decontamination(spark, docs, no_docs):
     items = [(1, item), (2, " ".join(item.split()[10:20])), (3, None), (4, " ,."), (10, "one TWO three"), (10, "one TWO three"), (None, prose(6, 20)), (5, "x x x x"), (6, "absent words")]
     items += [(7, prose(1, 120)), (8, "x " * 40), (9, "straße 12 5")]
     bench = spark.createDataFrame([(i, t, "c") for i, t in items], "item_id long, text string, term string")
-    assert rows(decontaminate.benchmark_decontamination(docs, bench)) == plain_contamination(texts(), items)
+    assert rows(decontaminate.benchmark_decontamination(docs, bench).drop("n_near")) == plain_contamination(texts(), items)
     kept = decontaminate.keep_clean(docs, bench)
     assert kept.columns == docs.columns
     assert kept.count() == sum(not r[-1] for r in plain_contamination(texts(), items))
@@ -158,9 +158,46 @@ def test_shuffled_ways_give_the_same(spark, docs, monkeypatch):
 
 def test_near_matches(spark):
     docs = spark.createDataFrame([(1, "c x a y b z"), (2, "a b"), (3, "a q q q q q b c")], "doc_id long, text string")
-    index = decontaminate.build_index(docs, spark.createDataFrame([(7, "a b c")], "item_id long, text string"))
-    of = {r["row"]: r.doc_id for r in index.postings.where("term = -1").collect()}
-    assert {of[r["row"]] for r in decontaminate.near_matches(index, 4).collect()} == {1}
+    index = decontaminate.build_index(docs)
+    of = {r["row"]: r.doc_id for r in index.postings.where("term = ''").collect()}
+    items = decontaminate.phrases(spark.createDataFrame([(7, "a b c")], "item_id long, text string"))
+    sought = decontaminate.windows(index, items)
+    assert {of[r["row"]] for r in decontaminate.near_matches(index, items, sought, 4).collect()} == {1}
+
+
+def plain_near(documents, items, reach):
+    words = lambda t: WORD.findall((t or "").translate(LOWER))
+    texts_of = [words(t) for _, t in documents]
+    count = collections.Counter(w for t in texts_of for w in t)
+    out = []
+    for (i, _), text in zip(documents, texts_of, strict=True):
+        near = set()
+        for item, t in items:
+            w = words(t)
+            for s in range(max(0, len(w) - 13) + 1) if w else ():
+                span = w[s : s + 13]
+                rare = min(span, key=lambda x: (count[x], w.index(x, s)))
+                if any(set(span) <= set(text[max(0, c - reach) : c + reach + 1]) for c, x in enumerate(text) if x == rare):
+                    near.add(item)
+        out.append((i, len(near)))
+    return sorted(out, key=repr)
+
+
+def test_near_matches_against_brute_force(spark):
+    r = np.random.default_rng(3)
+    items = [(k, prose(70 + k, 20 + k)) for k in range(6)] + [(9, "one two")]
+    documents = []
+    for k in range(24):
+        w = items[k % 6][1].split()
+        part = w[2:17]
+        if k % 3:
+            r.shuffle(part)
+        if k % 4 == 1:
+            part = [x for y in part for x in (y, f"z{k}")]
+        documents.append((k, " ".join([prose(90 + k, 40), *part, prose(130 + k, 30), "two", *["x"] * (k * 2), "one"])))
+    frames = [spark.createDataFrame(x, f"{n} long, text string") for x, n in ((documents, "doc_id"), (items, "item_id"))]
+    got = rows(decontaminate.benchmark_decontamination(*frames).select("doc_id", "n_near"))
+    assert got == plain_near(documents, items, decontaminate.REACH) and len({n for _, n in got}) > 1
 
 
 # 4: HTML extraction

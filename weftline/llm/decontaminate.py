@@ -1,18 +1,20 @@
 """Benchmark decontamination: a positional inverted index of the training text, searched for the benchmark's phrases.
 
-Index. One scan of the documents stores a posting (term, row, pos) for each occurrence of a word that the benchmark has; no
-other word can be asked for. Each task writes the postings of its own documents sorted by term, so the index is dealt out by
-documents, needs no shuffle, and a term's list is one stretch of each file. A posting with term END and pos = number of words
-closes each document and carries its id.
+Index. One scan of the documents stores a posting (term, row, pos) for each word. Each task writes the postings of its own documents
+sorted by term, so the index is dealt out by documents, needs no shuffle, and a term's list is one stretch of each file. A posting
+with term END and pos = number of words closes each document and carries its id. The index knows nothing of the benchmark; any
+phrases can be asked for.
 
 Search. A window is WINDOW consecutive words of an item (all of them, if it has fewer). Of each window the two rarest terms by
 their number of postings are looked up first; their lists, each shifted by the term's place in the item, are intersected on
 (document, item, shift). What is left is intersected with the postings of all the window's other terms in those documents, which
 gives the exact phrase matches. A window with a word that the corpus lacks is never looked up.
 
-Near matches, with all terms of a window within a given reach in any order, are found by near_matches() in the same index.
+Near matches, with all terms of a window within REACH words of its rarest one in any order, are found in the same index: the lists of
+the two rarest terms meet first, by stretches of REACH words, and what is left meets those of the other terms.
 
-Vocabulary and documents in question are broadcast only if counted to be under BROADCAST_BYTES; else they are joined by shuffle.
+What is broadcast, the items' terms and windows and the documents in question, is summed up first and must be under BROADCAST_BYTES;
+else it is joined by shuffle.
 
 Defined results. Null or wordless text: no words, not contaminated. Null or wordless items have no windows. Repeated items count
 once by item_id; an item without id hits words but is not counted among the items. Repeated documents give a row each, with the
@@ -26,56 +28,59 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import BROADCAST_BYTES, ascii_lower, stored
+from weftline.llm.common import BROADCAST_BYTES, ascii_lower, discard, free_name, stored
 
 WINDOW = 13
 #: What separates words, after A-Z are lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-END = -1
-_END_WORD = "\x00"
+#: Words to either side of a window's rarest term that a near match may take.
+REACH = 26
+END = ""
 
 
 def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(ascii_lower(text), GAP), ""), F.array().cast("array<string>"))
 
 
-def _small(df: DataFrame, bytes_a_row: int) -> DataFrame:
-    """df with a broadcast hint if it is counted to be small."""
-    return F.broadcast(df) if df.count() * bytes_a_row <= BROADCAST_BYTES else df
+def _small(df: DataFrame, size: str = "0") -> DataFrame:
+    """df with a broadcast hint if its rows, of 48 and size bytes each, are small together."""
+    return F.broadcast(df) if (df.agg(F.sum(F.expr(f"48 + {size}"))).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
+_TERM = "octet_length(term)"
 
 
 @dataclass(frozen=True)
 class Index:
-    """postings: term, row, pos; doc_id and key (a hash of id and text) in END rows only. vocabulary: word, term. items: item,
-    item_id, ipos, term."""
+    """postings: term, row, pos; doc_id and key (a hash of id and text) in END rows only."""
 
     postings: DataFrame
-    vocabulary: DataFrame
-    items: DataFrame
+
+    def of(self, terms: DataFrame) -> DataFrame:
+        """The postings of terms, which have a column term, joined with it."""
+        return self.postings.select("term", "row", "pos").join(_small(terms, _TERM), "term")
 
 
-def build_index(docs: DataFrame, benchmark: DataFrame) -> Index:
+def build_index(docs: DataFrame) -> Index:
     # Row numbers are made in a select of their own: beside explode() they would number the exploded rows.
-    items = benchmark.select("item_id", "text").distinct().select(F.monotonically_increasing_id().alias("item"), "item_id", words(F.col("text")).alias("w"))
-    items = items.select("item", "item_id", F.posexplode("w").alias("ipos", "word"))
-    items = stored(items, "benchmark_words")
-    vocabulary = stored(items.select("word").distinct().select("word", F.monotonically_increasing_id().alias("term")), "vocabulary")
-    items = stored(items.join(vocabulary, "word").select("item", "item_id", "ipos", "term"), "benchmark_terms")
-    known = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([(_END_WORD, END)], "word string, term long"))
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("doc_id", "text").alias("key"), F.array_append(words(F.col("text")), F.lit(_END_WORD)).alias("w")
-    )
-    found = numbered.select("row", "doc_id", "key", F.posexplode("w").alias("pos", "word")).join(_small(known, 64), "word")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("doc_id", "text").alias("key"), F.array_append(words(F.col("text")), F.lit(END)).alias("w"))
+    found = numbered.select("row", "doc_id", "key", F.posexplode("w").alias("pos", "term"))
     closing = F.col("term") == END
     postings = found.select("term", "row", "pos", F.when(closing, F.col("doc_id")).alias("doc_id"), F.when(closing, F.col("key")).alias("key"))
-    return Index(stored(postings.sortWithinPartitions("term", "row", "pos"), "postings"), vocabulary, items)
+    return Index(stored(postings.sortWithinPartitions("term", "row", "pos"), "postings"))
 
 
-def windows(index: Index, size: int = WINDOW) -> DataFrame:
-    """item, item_id and spans: an array of (s, e, p1, p2), the item positions of each window that may occur and of its two
+def phrases(benchmark: DataFrame) -> DataFrame:
+    """Stored: item, item_id, ipos, term of each word of each item."""
+    items = benchmark.select("item_id", "text").distinct().select(F.monotonically_increasing_id().alias("item"), "item_id", words(F.col("text")).alias("w"))
+    return stored(items.select("item", "item_id", F.posexplode("w").alias("ipos", "term")), "benchmark_terms")
+
+
+def windows(index: Index, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """Stored: item, item_id and spans: an array of (s, e, p1, p2), the item positions of each window that may occur and of its two
     rarest terms."""
-    counts = index.postings.where(F.col("term") != END).groupBy("term").agg(F.count("*").alias("n"))
-    per_item = index.items.join(counts, "term", "left").groupBy("item", "item_id").agg(F.array_sort(F.collect_list(F.struct("ipos", F.coalesce("n", F.lit(0)).alias("n")))).alias("t"))
+    counts = index.of(items.select("term").distinct()).groupBy("term").agg(F.count("*").alias("n"))
+    per_item = items.join(counts, "term", "left").groupBy("item", "item_id").agg(F.array_sort(F.collect_list(F.struct("ipos", F.coalesce("n", F.lit(0)).alias("n")))).alias("t"))
     last = F.greatest(F.size("t") - size, F.lit(0))
 
     def span(s: Column) -> Column:
@@ -94,82 +99,85 @@ def _inside(spans: str, test) -> Column:
     return F.filter(spans, test)
 
 
-def phrase_matches(index: Index, size: int = WINDOW) -> DataFrame:
-    """row, item, item_id, shift, spans: the windows of the item that occur in the document with that shift (document position
-    less item position)."""
-    sought = windows(index, size)
+def phrase_matches(index: Index, items: DataFrame, sought: DataFrame) -> DataFrame:
+    """row, item, item_id, shift, spans: the windows of the item (of sought) that occur in the document with that shift (document
+    position less item position)."""
+    terms = items.select("item", "ipos", "term")
     anchors = (
-        sought.select("item", F.explode("spans").alias("w"))
-        .select("item", F.explode(F.array_distinct(F.array("w.p1", "w.p2"))).alias("ipos"))
-        .distinct()
-        .join(index.items.select("item", "ipos", "term"), ["item", "ipos"])
+        sought.select("item", F.explode("spans").alias("w")).select("item", F.explode(F.array_distinct(F.array("w.p1", "w.p2"))).alias("ipos")).distinct().join(terms, ["item", "ipos"])
     )
-    sought = _small(sought, 40 * size + 4000)
-    listed = index.postings.select("term", "row", "pos").join(_small(stored(anchors, "anchors"), 64), "term")
-    met = listed.groupBy("row", "item", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("got"))
+    sought = _small(sought, "24 * size(spans)")
+    met = index.of(anchors).groupBy("row", "item", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("got"))
     both = _inside("spans", lambda w: F.array_contains("got", w["p1"]) & F.array_contains("got", w["p2"]))
     maybe = met.join(sought, "item").select("row", "item", "shift", both.alias("spans")).where(F.size("spans") > 0)
     maybe = stored(maybe, "phrase_candidates")
     expected = (
         maybe.select("row", "item", "shift", F.explode(F.array_distinct(F.flatten(F.transform("spans", lambda w: F.sequence(w["s"], w["e"]))))).alias("ipos"))
-        .join(_small(index.items.select("item", "ipos", "term"), 64), ["item", "ipos"])
+        .join(_small(terms, _TERM), ["item", "ipos"])
         .withColumn("pos", F.col("shift") + F.col("ipos"))
     )
-    there = index.postings.select("term", "row", "pos").where(F.col("term") != END).join(_small(maybe.select("row").distinct(), 32), "row", "left_semi")
+    there = index.postings.select("term", "row", "pos").where(F.col("term") != END).join(_small(maybe.select("row").distinct()), "row", "left_semi")
     got = expected.join(there, ["row", "pos", "term"]).groupBy("row", "item", "shift").agg(F.collect_set("ipos").alias("got"))
     whole = _inside("spans", lambda w: F.size(F.array_intersect(F.sequence(w["s"], w["e"]), F.col("got"))) == w["e"] - w["s"] + 1)
     return got.join(sought, "item").select("row", "item", "item_id", "shift", whole.alias("spans")).where(F.size("spans") > 0)
 
 
-def near_matches(index: Index, reach: int, size: int = WINDOW) -> DataFrame:
+def near_matches(index: Index, items: DataFrame, sought: DataFrame, reach: int = REACH) -> DataFrame:
     """row, item, s, pos: the window of the item that starts at s has all its distinct terms within reach words of pos, where its
     rarest term stands, in any order. Places are cut into stretches of reach words, so that the lists meet by equality."""
-    sought = windows(index, size).select("item", F.explode("spans").alias("w")).select("item", "w.s", "w.e", "w.p1")
-    terms = index.items.select("item", "ipos", "term")
-    needed = (
-        sought.join(terms, "item").where("ipos BETWEEN s AND e").groupBy("item", "s").agg(F.collect_set("term").alias("terms"))
-    )
-    centre = sought.join(terms, (sought["item"] == terms["item"]) & (sought["p1"] == terms["ipos"])).select(sought["item"], "s", "term")
-    at = index.postings.select("term", "row", "pos").join(centre, "term").select("row", "item", "s", F.col("pos").alias("c"))
-    reachable = at.join(needed, ["item", "s"]).select("row", "item", "s", "c", F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    cells = reachable.withColumn("cell", F.explode(F.array(*[F.floor(F.col("c") / reach) + d for d in (-1, 0, 1)])))
-    lists = index.postings.select("term", "row", "pos", F.floor(F.col("pos") / reach).alias("cell"))
-    met = cells.join(lists, ["row", "term", "cell"]).where(F.abs(F.col("pos") - F.col("c")) <= reach)
-    return met.groupBy("row", "item", "s", "c", "n").agg(F.count_distinct("term").alias("k")).where("k = n").select("row", "item", "s", F.col("c").alias("pos"))
-
-
-def contamination(index: Index, size: int = WINDOW) -> DataFrame:
-    """doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, item_ids of each document row."""
-    matched = phrase_matches(index, size)
-    hits = matched.groupBy("row").agg(
+    spans = sought.select("item", F.explode("spans").alias("w")).select("item", "w.s", "w.e", "w.p1", "w.p2")
+    terms = items.select("item", "ipos", "term")
+    first = spans.join(terms.withColumnRenamed("ipos", "p1"), ["item", "p1"]).select("item", "s", "p2", "term")
+    second = spans.join(terms.withColumnRenamed("ipos", "p2"), ["item", "p2"]).select("item", "s", F.col("term").alias("other"))
+    # Windows with the same two rarest terms go together until those have met.
+    pairs = stored(first.join(second, ["item", "s"]).select("term", "other", "item", "s"), "near_pairs")
+    anchors = pairs.select("term", "other").distinct()
+    around = lambda c: F.explode(F.array(*[F.floor(F.col(c) / reach) + d for d in (-1, 0, 1)]))
+    centre = index.of(anchors).select("term", "other", "row", F.col("pos").alias("c"), around("pos").alias("cell"))
+    lists = index.of(anchors.select(F.col("other").alias("term")).distinct()).select(F.col("term").alias("other"), "row", F.floor(F.col("pos") / reach).alias("cell"), "pos")
+    met = centre.join(lists, ["other", "row", "cell"]).where(F.abs(F.col("pos") - F.col("c")) <= reach).select("term", "other", "row", "c").distinct()
+    met = stored(met, "near_candidates")
+    needed = spans.join(terms, "item").where("ipos BETWEEN s AND e").groupBy("item", "s").agg(F.collect_set("term").alias("terms"))
+    needed = stored(pairs.join(needed, ["item", "s"]), "near_terms")
+    reachable = met.join(_small(needed, "16 * size(terms) + 64"), ["term", "other"]).select("row", "item", "s", "c", F.size("terms").alias("n"), F.explode("terms").alias("term"))
+    reachable = reachable.withColumn("cell", around("c"))
+    there = index.postings.select("term", "row", "pos").join(_small(met.select("row").distinct()), "row", "left_semi")
+    lists = there.join(_small(items.select("term").distinct(), _TERM), "term").select("term", "row", "pos", F.floor(F.col("pos") / reach).alias("cell"))
+    near = reachable.join(lists, ["row", "term", "cell"]).where(F.abs(F.col("pos") - F.col("c")) <= reach)
+    return near.groupBy("row", "item", "s", "c", "n").agg(F.count_distinct("term").alias("k")).where("k = n").select("row", "item", "s", F.col("c").alias("pos"))
+
+
+def contamination(index: Index, benchmark: DataFrame, size: int = WINDOW, near: bool = False) -> DataFrame:
+    """doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, item_ids of each document row, and with near n_near, the number of
+    items that have a window near in it."""
+    items = phrases(benchmark)
+    sought = windows(index, items, size)
+    hits = phrase_matches(index, items, sought).groupBy("row").agg(
         F.array_distinct(F.flatten(F.collect_list(F.flatten(F.transform("spans", lambda w: F.sequence(w["s"] + F.col("shift"), w["e"] + F.col("shift"))))))).alias("at"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"),
     )
     closing = index.postings.where(F.col("term") == END).select("row", "doc_id", "key", F.col("pos").cast("long").alias("n_words"))
-    n_hit = F.coalesce(F.size("at"), F.lit(0)).cast("long")
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
-    return (
-        closing.join(hits.select("row", n_hit.alias("n_hit"), "item_ids"), "row", "left")
-        .withColumn("n_hit", F.coalesce("n_hit", F.lit(0)))
-        .select(
-            "doc_id",
-            "key",
-            "n_words",
-            "n_hit",
-            F.size(ids).cast("long").alias("n_items"),
-            F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
-            ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
-            ids.alias("item_ids"),
-        )
-    )
+    out = closing.join(hits.select("row", F.size("at").cast("long").alias("n_hit"), "item_ids"), "row", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long")))
+    columns = ["doc_id", "key", "n_words", "n_hit", F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256")]
+    columns += [((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), ids.alias("item_ids")]
+    if near:
+        close = near_matches(index, items, sought).groupBy("row").agg(F.count_distinct("item").alias("n_near"))
+        out = out.join(close, "row", "left")
+        columns.append(F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
+    return out.select(*columns)
 
 
 def benchmark_decontamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each row of docs."""
-    return contamination(build_index(docs, benchmark), size).drop("key", "item_ids")
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near of each row of docs."""
+    return contamination(build_index(docs), benchmark, size, near=True).drop("key", "item_ids")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of docs that are not contaminated."""
-    bad = contamination(build_index(docs, benchmark), size).where("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("key").alias("_bad_key")).distinct()
-    return docs.join(bad, (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_bad_key")) & docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
+    index = build_index(docs)
+    bad_id, bad_key = free_name(docs, "bad_id"), free_name(docs, "bad_key")
+    bad = contamination(index, benchmark, size).where("contaminated").select(F.col("doc_id").alias(bad_id), F.col("key").alias(bad_key)).distinct()
+    bad = stored(bad, "contaminated")
+    discard(index.postings)
+    return docs.join(_small(bad), (F.xxhash64(docs["doc_id"], docs["text"]) == bad[bad_key]) & docs["doc_id"].eqNullSafe(bad[bad_id]), "left_anti")

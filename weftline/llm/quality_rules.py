@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import give_back
+from weftline.llm.common import free_name, give_back
 
 BITS = 16
 SYMBOLS = "#*$%&|<>"
@@ -193,15 +193,17 @@ def train(docs: DataFrame, labels: DataFrame, config: TrainConfig = TrainConfig(
 
 
 def judge(docs: DataFrame, model: Model | None, rules: Rules = Rules(), keep_columns: bool = False) -> DataFrame:
-    """Counts and verdicts for each row of docs; keep_columns appends them to the row instead."""
+    """Counts and verdicts for each row of docs; keep_columns appends them to the row instead, under names that
+    the row has not."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     added = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, prob_quality double, kept boolean"
     names = [x.split()[0] for x in added.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
     if keep_columns:
-        docs = docs.drop(*names)
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {added}"
+        names = [free_name(docs, n) for n in names]
+        own = ", ".join(f"`{n}` {x.split()[1]}" for n, x in zip(names, added.split(", "), strict=True))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {own}"
     else:
         docs = docs.select("doc_id", "text")
         schema = f"doc_id long, {added}"
@@ -236,5 +238,5 @@ def quality_rules(docs: DataFrame, labels: DataFrame, config: TrainConfig = Trai
 
 def keep_good(docs: DataFrame, labels: DataFrame, config: TrainConfig = TrainConfig(), rules: Rules = Rules()) -> DataFrame:
     """The rows of docs that are kept, with their own columns."""
-    columns = docs.columns
-    return judge(docs, train(docs, labels, config), rules, keep_columns=True).where("kept").select(*columns)
+    judged = judge(docs, train(docs, labels, config), rules, keep_columns=True)
+    return judged.where(F.col(judged.columns[-1])).select(*docs.columns)
