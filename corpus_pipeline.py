@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import best_fit, decontaminate, line_dedup, ngram_join, quality_rules
-from weftline.llm.common import stored, table
+from weftline.llm.common import discard, scratch_scope, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -55,5 +55,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch_scope(spark) as made:
+            before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+            made.remove(docs._weftline_path)
+        discard(before)
     return docs

@@ -7,7 +7,7 @@ import random
 import pytest
 
 #: Names that operators might use themselves; they must not disturb.
-EXTRA = "key string, row string, term string, item string, node string, comp string, block string, _k string, _id string, n string, t string, h string, a string, b string"
+EXTRA = "_own string, _own_key string, _own_id string, _bad_id string, _bad_key string, bad_id string, bad_key string, dropped_id string, dropped_key string, kept string, n_words long, prob_quality string, _row string, _gone string, _text string, _arrival string, arrival string, key string, row string, term string, item string, node string, comp string, block string, _k string, _id string, n string, t string, h string, a string, b string"
 
 
 def prose(seed: int, n: int) -> str:
@@ -46,8 +46,8 @@ def texts() -> list[tuple[int | None, str | None]]:
 @pytest.fixture(scope="session")
 def docs(spark):
     schema = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
-    n = len(EXTRA.split(","))
-    return spark.createDataFrame([(i, t, "en" if k % 2 else None, None, None if t is None else len(t), *["e"] * n) for k, (i, t) in enumerate(texts())], schema)
+    extra = [7 if x.endswith("long") else "e" for x in EXTRA.split(", ")]
+    return spark.createDataFrame([(i, t, "en" if k % 2 else None, None, None if t is None else len(t), *extra) for k, (i, t) in enumerate(texts())], schema)
 
 
 @pytest.fixture(scope="session")

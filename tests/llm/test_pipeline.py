@@ -32,6 +32,22 @@ def test_stages(spark, tmp_path):
     assert lines[203].text == prose(903, 70) and lines[203].n_chars == len(lines[203].text)
 
 
+def test_run_on_awkward_tables(spark, docs, no_docs, tmp_path, monkeypatch):
+    from weftline.llm import common
+
+    monkeypatch.setattr(common, "scratch_root", lambda _: f"file://{tmp_path}/scratch")
+    for name, documents in (("some", docs), ("none", no_docs)):
+        sf = f"{tmp_path}/{name}"
+        documents.write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (None, 0, 0), (4, None, None)] if name == "some" else [], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+        spark.createDataFrame([(None, None), (1, "")] if name == "some" else [], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, sf).collect()
+        assert {p.name for p in tmp_path.glob("scratch/weftline/*/*")} == {"best_fit_packing"}  # all else is deleted
+        common.release(spark)
+        # Long enough and without many repeats; of the copy, line dedup leaves an empty text, which links with nothing.
+        assert sorted((r.doc_id or 0, r.length > 1) for r in got) == ([(0, True), (1, True), (2, False), (4, True), (5, True)] if name == "some" else [])
+
+
 def test_registered():
     assert {int(n.split("_")[0][2:]) for n in QUERIES} == set(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES)

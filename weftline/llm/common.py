@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,28 @@ def scratch_root(spark: SparkSession) -> str:
     return made
 
 
+#: Folders that were made since the innermost scratch_scope() began.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/weftline/{uuid.uuid4().hex}/{name}"
+    path = f"{scratch_root(spark)}/weftline/{uuid.uuid4().hex}/{name}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes the scratch folders made within it, but for those taken out of the list that it yields."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for path in made:
+            _delete(spark, path.rsplit("/", 1)[0])
 
 
 @contextlib.contextmanager
