@@ -10,18 +10,23 @@ from weftline.functions.text import fold_accents
 
 # --- fixed values ---
 
-#: Part of a number, folded and in capitals -> document type; the first that is found counts.
-TYPE_MARKS = (
-    ("HIEN PHAP", "hienphap"), (r"(^|[/-])NQLT([/-]|$)", "nghiquyetlientich"), (r"(^|[/-])TTLT([/-]|$)", "thongtulientich"), (r"ND-CP|(^|[/-])ND([/-]|$)", "nghidinh"),
-    (r"(^|[/-])TT([-/]|$)", "thongtu"), (r"(^|[/-])NQ([-/]|$)", "nghiquyet"), (r"(^|[/-])QD([-/]|$)", "quyetdinh"), (r"(^|[/-])KH([-/]|$)", "kehoach"),
-    (r"(^|[/-])CT([-/]|$)", "chithi"), (r"(^|[/-])CV([-/]|$)", "congvan"), (r"(^|/)\d{1,5}/\d{4}/QH\d{1,3}\b", "luat"), ("UBTVQH", "phaplenh"),
-)
+#: Code in a number, folded and in capitals -> document type.
+TYPE_CODES = {
+    "NQLT": "nghiquyetlientich", "TTLT": "thongtulientich", "ND": "nghidinh", "TT": "thongtu", "NQ": "nghiquyet", "QD": "quyetdinh", "KH": "kehoach", "CT": "chithi",
+    "CV": "congvan", "UBTVQH": "phaplenh", "QH": "luat",
+}
+
+#: Code of an issuing body -> its rank. QH and UBTVQH may carry the number of the assembly.
+BODY_CODES = {
+    "QH": 130, "UBTVQH": 120, "CTN": 110, "CP": 100, "TTG": 90, "HDTP": 85, "TANDTC": 80, "VKSNDTC": 80, "KTNN": 80, "NHNN": 80, "TTCP": 80, "HDND": 60, "UBND": 50, "UB": 50,
+    "BCA": 80, "BCT": 80, "BGDDT": 80, "BGTVT": 80, "BKHCN": 80, "BKHDT": 80, "BLDTBXH": 80, "BNG": 80, "BNNPTNT": 80, "BNV": 80, "BQP": 80, "BTC": 80, "BTNMT": 80,
+    "BTP": 80, "BTTTT": 80, "BVHTTDL": 80, "BXD": 80, "BYT": 80, "UBDT": 80, "VPCP": 80,
+}
 
-#: Part of a number -> rank of the issuing body; the first that is found counts.
-RANK_MARKS = (
-    ("HIEN PHAP", 140), (r"QUOC HOI|(^|[/-])QH\d{1,3}\b", 130), ("UBTVQH", 120), (r"CHU TICH NUOC|(^|[/-])CTN\b", 110), (r"CHINH PHU|(^|[-/])CP\b", 100),
-    (r"THU TUONG|(^|[-/])TTG\b", 90), ("HDTP|HOI DONG THAM PHAN", 85), ("TANDTC|VKSNDTC|TONG KIEM TOAN", 80), (r"(^|[-/])B[A-Z]{1,7}\b|(^|[-/])NHNN\b", 80),
-    ("TAND CAP CAO|VKSND CAP CAO", 70), ("HDND", 60), ("UBND", 50), ("TAND TINH|VKSND TINH", 60), ("TAND HUYEN|VKSND HUYEN", 30),
+#: Names of issuing bodies, folded, the more special ones first -> rank.
+BODY_NAMES = (
+    ("HIEN PHAP", 140), ("QUOC HOI", 130), ("CHU TICH NUOC", 110), ("THU TUONG", 90), ("CHINH PHU", 100), ("HOI DONG THAM PHAN", 85), ("TONG KIEM TOAN", 80), ("TAND CAP CAO", 70),
+    ("VKSND CAP CAO", 70), ("TAND TINH", 60), ("VKSND TINH", 60), ("TAND HUYEN", 30), ("VKSND HUYEN", 30),
 )
 
 #: Rank of a type, where the issuing body is not known.
@@ -46,19 +51,47 @@ def policy_text(number: Column) -> Column:
     return F.regexp_replace(F.upper(fold_accents(F.coalesce(number, F.lit("")))), r"\s+", " ")
 
 
-def _first(text: Column, marks: tuple) -> Column:
-    out = F.lit(None)
-    for pattern, value in reversed(marks):
-        out = F.when(text.rlike(pattern), value).otherwise(out)
+def _codes(text: Column) -> Column:
+    """The codes of a number: its parts between / and -, without the number of the assembly."""
+    return F.transform(F.split(text, "[/-]"), lambda part: F.regexp_replace(F.trim(part), r"^(QH|UBTVQH)\d+$", "$1"))
+
+
+def _mapped(codes: Column, known: dict) -> Column:
+    """The values of those codes that are known, in order."""
+    pairs = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.filter(F.transform(codes, lambda c: F.try_element_at(pairs, c)), lambda v: v.isNotNull())
+
+
+def _named(text: Column) -> Column:
+    out = F.lit(None).cast("int")
+    for name, rank in reversed(BODY_NAMES):
+        out = F.when(text.contains(name), rank).otherwise(out)
     return out
 
 
 def type_of(number: Column) -> Column:
-    return _first(policy_text(number), TYPE_MARKS)
+    """The type that the first known code names. A law's number needs its year: 'QH' alone may be any act of the assembly."""
+    text = policy_text(number)
+    first = F.get(_mapped(_codes(text), TYPE_CODES), F.lit(0))
+    law = text.rlike(r"^\s*\d+/\d{4}/QH")
+    return F.when(text.contains("HIEN PHAP"), "hienphap").when((first == "luat") & ~law, F.lit(None)).otherwise(first)
 
 
 def rank_of(number: Column) -> Column:
-    return _first(policy_text(number), RANK_MARKS)
+    """The rank of the highest body that the number names, by code, else by name. A ministry that is not in the list is known by its 'B' after
+    a type's code."""
+    text = policy_text(number)
+    codes = _codes(text)
+    last = F.element_at(codes, -1)
+    ministry = F.when(last.rlike("^B[A-Z]{1,7}$") & (F.size(_mapped(codes, TYPE_CODES)) > 0), 80)
+    return F.coalesce(F.array_max(_mapped(codes, BODY_CODES)), _named(text), ministry)
+
+
+def family_of(number: Column) -> Column:
+    """The body's code, where it is the government, its head, a ministry or the state bank."""
+    text = policy_text(number)
+    family = F.filter(_codes(text), lambda c: c.isin("TTG", "CP", "NHNN") | c.rlike("^B[A-Z]{1,7}$"))
+    return F.when(text.contains("THU TUONG"), "TTG").when(text.contains("CHINH PHU"), "CP").otherwise(F.get(family, F.lit(0)))
 
 
 def type_rank(kind: Column) -> Column:
@@ -81,16 +114,13 @@ def _yes(c: Column) -> Column:
 
 
 def described(numbers: DataFrame) -> DataFrame:
-    """number, own_type, rank, year, family of distinct numbers (column number). Each step is a column of its own, worked out once."""
-    folded = numbers.select("number").where("number IS NOT NULL").distinct().withColumn("_text", policy_text(F.col("number")))
-    text = F.col("_text")
-    body = F.regexp_extract(text, r"(?:^|[-/])(B[A-Z]{1,7}|NHNN)\b", 1)
-    return folded.select(
-        "number",
-        _first(text, TYPE_MARKS).alias("own_type"),
-        _first(text, RANK_MARKS).alias("rank"),
-        year_of(F.col("number")).alias("year"),
-        F.when(text.rlike(r"THU TUONG|(^|[-/])TTG\b"), "TTG").when(text.rlike(r"CHINH PHU|(^|[-/])CP\b"), "CP").when(body != "", body).alias("family"),
+    """number, own_type, rank, year, family of distinct numbers (column number)."""
+    n = F.col("number")
+    return (
+        numbers.select("number")
+        .where("number IS NOT NULL")
+        .distinct()
+        .select("number", type_of(n).alias("own_type"), rank_of(n).alias("rank"), year_of(n).alias("year"), family_of(n).alias("family"))
     )
 
 

@@ -39,7 +39,7 @@ def _components() -> re.Pattern:
     each = []
     for word, level in rules.LEVEL_WORDS.items():
         v = VALUE[level]
-        each.append(rf"(?<!\w){word}\s+(?P<{level}>{SELF}|{v}(?:\s*(?:,|;|và|hoặc)\s*{v}(?!\w))*)")
+        each.append(rf"(?<!\w){word}\s+(?P<{level}>{SELF}|{v}(?:\s*(?:[,;]|(?:và|hoặc)(?!\w))\s*{v}(?!\w))*)")
     return re.compile("|".join(each), re.IGNORECASE)
 
 
