@@ -11,7 +11,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from weftline.plans import catalogue
+from weftline.plans import catalogue, graph_queries  # noqa: F401
 
 DATA = Path(os.environ.get("WEFTLINE_TEST_DATA", "/root/testdata/sf0.001"))
 ROOT = Path(__file__).resolve().parent.parent

@@ -85,20 +85,6 @@ POINT_LETTERS = "a b c d đ e g h i k l m n o p q r s t u v x y"
 #: Last part of a document number that lacks its authority.
 INCOMPLETE_SUFFIXES = ("ND", "NĐ", "QD", "QĐ", "TT", "TTLT", "NQ", "CT", "VB")
 
-#: Issuing body in a document number (after its last '/') -> authority rank; the first that matches counts.
-AUTHORITY_RANKS = (
-    (r"HIẾN PHÁP|^HP", 140),
-    (r"UBTVQH", 120),
-    (r"^QH\d*|QH\d+$", 130),
-    (r"CTN", 110),
-    (r"TTG", 90),
-    (r"-CP|^CP", 100),
-    (r"HĐTP", 85),
-    (r"HĐND", 60),
-    (r"UBND", 50),
-    (r"-B[A-ZĐ]+|TANDTC|VKSNDTC|NHNN|TTCP|KTNN", 80),
-)
-
 #: Relations that a higher authority's document doesn't have to a lower one's, and the reverse.
 UPPER_TO_LOWER_RESTRICTED = ("quy_dinh_chi_tiet", "hop_nhat", "huong_dan", "can_cu")
 LOWER_TO_UPPER_RESTRICTED = (

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions.fixed import CLAUSE_LEVELS, LEVEL_NAMES, POINT_LETTERS
+from weftline.functions.fixed import CLAUSE_LEVELS, INCOMPLETE_SUFFIXES, LEVEL_NAMES, POINT_LETTERS
 
 _ACCENTED = "áàảãạăắằẳẵặâấầẩẫậéèẻẽẹêếềểễệíìỉĩịóòỏõọôốồổỗộơớờởỡợúùủũụưứừửữựýỳỷỹỵđ"
 
@@ -254,3 +254,50 @@ def unidecode(text: pd.Series) -> pd.Series:
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching blocks; not an edit distance."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=object)
+
+
+# How much a number or an authority tells
+
+
+def is_specific_number(number: Column) -> Column:
+    """Whether a number says who issued it: after its first number, the last part is more than a type's code."""
+    key = number_key(number)
+    last = F.element_at(F.split(key, "/"), -1)
+    tells = last.contains("-") | last.rlike(r"^(QH|UBTVQH)\d{1,3}$") | last.rlike("[A-Z]{2}")
+    return key.rlike(r"^\d+/") & ~last.isin(*sorted({*INCOMPLETE_SUFFIXES, *(s.replace("Đ", "D") for s in INCOMPLETE_SUFFIXES)})) & tells
+
+
+def extends_number(longer: Column, number: Column) -> Column:
+    """Whether a number of several agencies, in which some may be left out, starts another one that is longer."""
+    key, other = number_key(number), number_key(longer)
+    last = F.element_at(F.split(key, "/"), -1)
+    several = key.contains("/") & (F.size(F.split(last, "-")) >= 3) & last.rlike("[A-Z]")
+    return several & (key != other) & other.startswith(key)
+
+
+#: Short names of local bodies.
+_BODIES = (("ubnd", "ủy ban nhân dân"), ("hđnd", "hội đồng nhân dân"), ("hdnd", "hội đồng nhân dân"))
+
+
+def authority_key(name: Column) -> Column:
+    """An issuing body's name in small plain letters, with the short names of local bodies written out."""
+    out = F.lower(F.trim(F.coalesce(name, F.lit(""))))
+    for short, full in _BODIES:
+        out = F.replace(out, F.lit(short), F.lit(full))
+    return F.trim(F.regexp_replace(F.regexp_replace(fold_accents(out), r"[^a-zA-Z0-9_\s]", " "), r"\s+", " "))
+
+
+def same_authority(a: Column, b: Column) -> Column:
+    """Whether one of two names contains the other; empty ones match nothing."""
+    a, b = authority_key(a), authority_key(b)
+    return (a != "") & (b != "") & (a.contains(b) | b.contains(a))
+
+
+def cacheable(information: Column, source_authority: Column, source_number: Column) -> Column:
+    """Whether what a reference resolves to may be kept for all documents: it has a number with a letter or a date, and if the source is a
+    local body's document, that body is known."""
+    said = F.coalesce(information, F.lit(""))
+    numbered = said.rlike(r"\d+\s*/\s*(\d{4}\s*/\s*)?[\p{L}]{2,}")
+    dated = said.rlike(r"(?iu)ngày\s+\d{1,2}\s*([/-]\s*\d{1,2}\s*[/-]\s*\d{4}|tháng\s+\d{1,2}\s+năm\s+\d{4})|năm\s+\d{4}")
+    local = F.element_at(F.split(F.coalesce(source_number, F.lit("")), "/"), -1).rlike("UBND|HĐND|HDND")
+    return (numbered | dated) & (~local | (F.trim(F.coalesce(source_authority, F.lit(""))) != ""))

@@ -102,3 +102,31 @@ def greedy_matches(units: DataFrame, key: list[str]) -> DataFrame:
 
     kinds = ", ".join(f"`{k}` {units.schema[k].dataType.simpleString()}" for k in key)
     return units.select(*key, "preds", "golds").mapInPandas(run, f"{kinds}, pred string, gold string")
+
+
+def coverage(gold: DataFrame, candidates: DataFrame, unit: list[str], relation: str, reference: str) -> DataFrame:
+    """relation, total, covered, recall_ceiling: how many gold pairs of each relation some candidate of the same unit has."""
+    key = [*unit, relation, reference]
+    seen = candidates.select(*key).distinct().withColumn("hit", F.lit(1))
+    counted = gold.join(seen, key, "left").groupBy(relation).agg(F.count("*").alias("total"), F.count("hit").alias("covered"))
+    return counted.withColumn("recall_ceiling", ratio(F.col("covered"), F.col("total")))
+
+
+def route(score: Column, accept: Column, reject: Column, rest: str = "UNCERTAIN") -> Column:
+    return F.when(score >= accept, "ACCEPT").when(score <= reject, "REJECT").otherwise(rest)
+
+
+def routing(scored: DataFrame, score: str, accept: str, reject: str, label: str) -> DataFrame:
+    """route, n, coverage, decision_precision: shares of all rows, and of right decisions; null for those left uncertain."""
+    routed = scored.select(route(F.col(score), F.col(accept), F.col(reject)).alias("route"), F.col(label).alias("label"))
+    right = F.count_if(((F.col("route") == "ACCEPT") & (F.col("label") == 1)) | ((F.col("route") == "REJECT") & (F.col("label") == 0)))
+    each = routed.groupBy("route").agg(F.count("*").alias("n"), right.alias("right"))
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # of three rows at most
+    precision = F.when(F.col("route") != "UNCERTAIN", ratio(F.col("right"), F.col("n")))
+    return each.select("route", "n", ratio(F.col("n"), total).alias("coverage"), precision.alias("decision_precision"))
+
+
+def abstained(scored: DataFrame, score: str, accept: str, reject: str, digits: int = 9) -> DataFrame:
+    """The rows that are neither accepted nor rejected, with distance to the nearer decision; sort by it for the queue."""
+    left = scored.where(route(F.col(score), F.col(accept), F.col(reject)) == "UNCERTAIN")
+    return left.withColumn("distance", F.round(F.least(F.abs(F.col(score) - F.col(accept)), F.abs(F.col(score) - F.col(reject))), digits))
