@@ -4,6 +4,8 @@ import gzip
 import json
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from weftline.functions import authority
@@ -215,3 +217,34 @@ def test_terms(spark):
 
     n = spark.createDataFrame([("5/2018/QH13",), ("5/2016/QH13",), ("5/2016/QH14",), ("5/2012/QH12",), ("9/2020/NĐ-CP",), (None,)], "n string")
     assert [r.x for r in n.select(corrected_term(F.col("n")).alias("x")).collect()] == ["5/2018/QH14", "5/2016/QH13", "5/2016/QH14", "5/2012/QH13", "9/2020/NĐ-CP", None]
+
+
+def test_retry():
+    from weftline.operators.scan import with_retry
+
+    calls, waits = [], []
+
+    def write():
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("busy")
+
+    assert with_retry(write, 5, 1.0, 2.0, waits.append) == 3 and waits == [1.0, 2.0]
+    calls.clear()
+    with pytest.raises(OSError):
+        with_retry(write, 2, sleep=waits.append)
+
+
+def test_writer_on_awkward_edges(spark):
+    from weftline.operators import writer
+
+    edges = spark.createDataFrame([(None, "a"), ("a", None), ("a", "b"), ("a", "b"), ("a", "z")], "head string, tail string")
+    nodes = spark.createDataFrame([("a",), ("b",), ("b",)], "node string")
+    got = {(r.head, r.tail): (r.status, r.reason) for r in writer.written(edges, nodes, "strict-no-heal").collect()}
+    assert got == {(None, "a"): ("deferred", "missing_source"), ("a", None): ("deferred", "missing_target"), ("a", "b"): ("written", None), ("a", "z"): ("deferred", "missing_target")}
+    assert writer.written(edges, nodes, "legacy").count() == 5 and not writer.written(edges.limit(0), nodes, "legacy").collect()
+    with pytest.raises(ValueError):
+        writer.written(edges, nodes, "other")
+    left, rest = writer.without_documents(nodes.selectExpr("concat('x#', node) AS node"), edges.selectExpr("concat('x#', head) AS head", "tail"), spark.createDataFrame([("a",), (None,)], "doc_id string"))
+    assert {r.node for r in left.collect()} == {"x#b"} and {r["tail"] for r in rest.collect()} == {"a"} - {"a"}
+    assert writer.without_containment(spark.createDataFrame([("a", "bao_gom"), ("b", "bai_bo")], "head string, rel_type string")).count() == 1

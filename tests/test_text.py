@@ -114,3 +114,53 @@ def test_longest_first(spans):
 def test_any_text_has_spans_inside(text):
     assert all(0 <= m.start < m.stop <= len(text) for m in mentions(text, "khoan_1_dieu_2"))
     assert all(0 <= c.start < c.stop <= len(text) for c in cues(text))
+
+
+#: text, (relation, key, number) of its targets: lists below a heading, inserted labels, brackets, continued application, words of a name.
+TARGETS = [
+    (
+        "Điều 1. Hủy bỏ hiệu lực các Quyết định vì không còn phù hợp với Nghị định số 35/2001/NĐ-CP ngày 09/7/2001 và Thông tư 53/2001/TT-BTC.\r\n- Quyết định số 1754/2000/QĐ-UB ngày 21/12/2000;\r\n- Quyết định số 101/2001/QĐ-UB.",
+        {("huy_bo", "", "1754/2000/QĐ-UB"), ("huy_bo", "", "101/2001/QĐ-UB")},
+    ),
+    ("Bổ sung điểm d vào sau điểm c khoản 1 Điều 34 của Nghị định số 5/2023/NĐ-CP như sau:", {("sua_doi_bo_sung", "diem_d_khoan_1_dieu_34", "5/2023/NĐ-CP")}),
+    ("Bổ sung điểm e1 và điểm e2 vào sau điểm e khoản 2 Điều 12 như sau:", {("sua_doi_bo_sung", "diem_e1_khoan_2_dieu_12", None), ("sua_doi_bo_sung", "diem_e2_khoan_2_dieu_12", None)}),
+    (
+        "Thông tư này quy định chi tiết Nghị định số 105/2025/NĐ-CP, bao gồm:\n1. Tiêu chuẩn (khoản 2 Điều 10);\n2. Tổ chức (khoản 3 Điều 18).",
+        {("quy_dinh_chi_tiet", "khoan_2_dieu_10", "105/2025/NĐ-CP"), ("quy_dinh_chi_tiet", "khoan_3_dieu_18", "105/2025/NĐ-CP")},
+    ),
+    ("Hợp đồng đã ký thì tiếp tục thực hiện theo Nghị định số 12/2019/NĐ-CP.", {("dan_chieu", "", "12/2019/NĐ-CP")}),
+    ("Sửa đổi khoản 1 Điều 3 Nghị định số 1/2019/NĐ-CP (thay thế Nghị định số 2/2009/NĐ-CP).", {("sua_doi_bo_sung", "khoan_1_dieu_3", "1/2019/NĐ-CP"), ("thay_the", "", "2/2009/NĐ-CP")}),
+]
+
+
+@pytest.mark.parametrize(("text", "wanted"), TARGETS)
+def test_targets(text, wanted):
+    assert {(c.relation, m.key, m.number) for c, m in matches(text)} == wanted
+
+
+def test_offsets():
+    from weftline.functions.offsets import raw_offsets, raw_span
+
+    raw, clean = "Điều  1.\t<b>Bãi bỏ</b>\n\nkhoản 2", "Điều 1. Bãi bỏ khoản 2"
+    to = raw_offsets(raw, clean)
+    for word in ("Điều", "Bãi", "khoản 2"):
+        a, b = raw_span(to, clean.index(word), clean.index(word) + len(word))
+        assert raw[a:b] == word
+    assert raw_offsets("", "x") == [0, 0] and raw_offsets("ab", "") == [2] and raw_span(to, 3, 3) == (3, 3)
+
+
+def test_phrases():
+    from weftline.functions.phrases import Words, phrases
+
+    w = Words("Sửa đổi, bổ sung Điều 1 của Luật; theo Luật này")
+    assert w.first(0, 20, phrases(("của luật", "của"))) == (7, 9)
+    assert w.follows(0, 20, phrases(("sửa đổi",)), phrases(("của",))) and not w.follows(8, 20, phrases(("của",)))
+    assert w.ends_with(7, phrases(("điều 1",))) and w.starts_with(2, phrases(("bổ sung",)), frozenset({","}))
+
+
+def test_numbers_and_bodies(spark):
+    from weftline.functions import authority as A
+
+    cases = {"15/2020/NĐ-CP": ("nghidinh", 100), "45/2019/QH14": ("luat", 130), "5/2020/UBTVQH14": ("phaplenh", 120), "12/2015/TTLT-BTC-BCA": ("thongtulientich", 80), "7/2021/QĐ-UBND": ("quyetdinh", 50), "3/QĐ-TTg": ("quyetdinh", 90), "9/2020/NQ-HĐND": ("nghiquyet", 60), "4/2020/TT-BXYZ": ("thongtu", 80), "x": (None, None)}
+    rows = spark.createDataFrame([(k,) for k in cases], "number string").select("number", A.type_of(F.col("number")).alias("t"), A.rank_of(F.col("number")).alias("r")).collect()
+    assert {x.number: (x.t, x.r) for x in rows} == cases

@@ -176,12 +176,13 @@ _SUBORDINATE = re.compile(_any(rules.SUBORDINATE_PHRASES), re.IGNORECASE)
 def documents(text: str, a: int, b: int) -> list[Mention]:
     """Documents named in text[a:b]. One that only describes the one before it, after a subordinate phrase, is left out."""
     out: list[Mention] = []
-    for m in _documents().finditer(text, a, b):
+    at = a
+    while m := _documents().search(text, at, b):
         kind = TYPE_KEYS[re.sub(r"\s+", " ", m["type"].lower())]
-        if m["title"] is not None and not m["title"].strip():
-            continue
-        if m["title"] is not None and kind not in rules.TITLED_TYPES:
+        if m["title"] is not None and (kind not in rules.TITLED_TYPES or not m["title"].strip()):
+            at = m.end("type")  # what follows is no title, and may name a document itself
             continue
+        at = m.end()
         if out and not out[-1].own and _SUBORDINATE.fullmatch(text[out[-1].stop : m.start()].strip(" ,").removesuffix(" một số điều của").removesuffix(" của").strip()):
             continue
         number = re.sub(r"\s+", "", m["number"]) if m["number"] else None
@@ -292,15 +293,18 @@ def _sentence_of(text: str, scopes: list[tuple[int, int]], at: int) -> tuple[int
 
 
 def matches(text: str, own_key: str = "") -> list[tuple[Cue, Mention]]:
-    """Each cue with the mentions it acts on: forward ones those up to the next cue in the sentence, and if there are none up to its end;
-    backward ones those before it in the sentence. Then the filters, and the relation by the target's scope."""
+    """Each cue with the mentions it acts on: forward ones those up to the next cue in the sentence, and if there are none up to its end, or a list
+    below; backward ones those before it in the sentence. Then the filters, and the relation by the target's scope."""
     refs = mentions(text, own_key)
     if not refs:
         return []
+    from weftline.functions import targets
     from weftline.functions.match_filters import filtered, refined
 
     plain = masked(text)
-    acts, scopes, out = [c for c in cues(text) if c.reason is None], sentences(plain), []
+    acts = [c for c in cues(text) if c.reason is None and not targets.needless(plain, c, refs)]
+    acts = sorted(targets.goes_on(plain, acts, refs), key=lambda c: c.start)
+    scopes, out = sentences(plain), []
     for k, c in enumerate(acts):
         a, b = _sentence_of(text, scopes, c.start)
         if c.backward:
@@ -308,6 +312,7 @@ def matches(text: str, own_key: str = "") -> list[tuple[Cue, Mention]]:
         else:
             fence = min([b, *(d.start for d in acts[k + 1 : k + 2] if d.start < b)])
             got = [m for m in refs if c.stop <= m.start < fence] or [m for m in refs if c.stop <= m.start < b]
+            got = targets.inserted(plain, c, targets.listed(plain, c, targets.in_same_brackets(plain, c, got), refs, acts))
         for m in filtered(plain, c, got):
             relation = refined(plain, c, m)
             out.append((c if relation == c.relation else replace(c, relation=relation), m))

@@ -296,3 +296,56 @@ def corpus_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Counts by split and source."""
     docs = read(spark, d, "documents").select("source", sampling.stable_split(F.col("doc_id").cast("string"), 0.05).alias("split"))
     return docs.groupBy("split", "source").agg(F.count("*").alias("n"))
+
+
+# Targets of actions in templates of legal language: {n} is the document's number, {k} a clause's
+
+
+#: text, relation, and the key and number of each target; * of the key is {k}.
+TEMPLATES: tuple[tuple[str, str, tuple[tuple[str, str], ...]], ...] = (
+    ("Bãi bỏ khoản {k} Điều 5 Nghị định số {n}/2019/NĐ-CP.", "bai_bo", (("khoan_*_dieu_5", "/2019/NĐ-CP"),)),
+    ("Bãi bỏ các khoản {k} và 9 Điều 5 Thông tư số {n}/2019/TT-BTC; bổ sung hồ sơ.", "bai_bo", (("khoan_9_dieu_5", "/2019/TT-BTC"),)),
+    ("Bổ sung điểm d vào sau điểm c khoản {k} Điều 34 của Nghị định số {n}/2023/NĐ-CP như sau:", "sua_doi_bo_sung", (("diem_d_khoan_*_dieu_34", "/2023/NĐ-CP"),)),
+    ("Hủy bỏ các Quyết định trái với Nghị định số 35/2001/NĐ-CP:\n- Quyết định số {n}/2000/QĐ-UBND;\n- Quyết định số {k}/2001/QĐ-UBND.", "huy_bo", (("", "/2000/QĐ-UBND"),)),
+    ("Thông tư này quy định chi tiết Nghị định số {n}/2025/NĐ-CP, bao gồm:\n1. Hồ sơ (khoản {k} Điều 10);\n2. Thời hạn (khoản 8 Điều 18).", "quy_dinh_chi_tiet", (("khoan_*_dieu_10", "/2025/NĐ-CP"), ("khoan_8_dieu_18", "/2025/NĐ-CP"))),
+    ("Hợp đồng đã ký thì tiếp tục thực hiện theo Nghị định số {n}/2019/NĐ-CP.", "dan_chieu", (("", "/2019/NĐ-CP"),)),
+    ("Nghị định số {n}/2010/NĐ-CP hết hiệu lực kể từ ngày Nghị định này có hiệu lực thi hành.", "thay_the", (("", "/2010/NĐ-CP"),)),
+    ("Quyết định số {n}/2011/QĐ-TTg hết hiệu lực thi hành.", "bai_bo", (("", "/2011/QĐ-TTg"),)),
+    ("Thay thế Phụ lục ban hành kèm theo Nghị định số {n}/2012/NĐ-CP.", "sua_doi_bo_sung", (("", "/2012/NĐ-CP"),)),
+    ("Sửa đổi khoản {k} Điều 2 Nghị định số {n}/2010/NĐ-CP đã được sửa đổi tại Nghị định số 9/2012/NĐ-CP.", "sua_doi_bo_sung", (("khoan_*_dieu_2", "/2010/NĐ-CP"),)),
+    ("Bãi bỏ Nghị quyết số {n}/2010/NQ-HĐND về việc kéo dài Nghị quyết số 4/2009/NQ-HĐND.", "bai_bo", (("", "/2010/NQ-HĐND"),)),
+    ("Thay thế từ khoản 1 đến khoản 2 Điều {k} Nghị định số {n}/2012/NĐ-CP.", "thay_the", (("khoan_1_dieu_*", "/2012/NĐ-CP"), ("khoan_2_dieu_*", "/2012/NĐ-CP"))),
+    ("Quy định chi tiết khoản {k} Điều 7 Nghị định số {n}/2022/NĐ-CP.", "quy_dinh_chi_tiet", (("khoan_*_dieu_7", "/2022/NĐ-CP"),)),
+    ("Hướng dẫn thi hành Điều {k} Nghị định số {n}/2022/NĐ-CP.", "huong_dan", (("dieu_*", "/2022/NĐ-CP"),)),
+    ("Đính chính khoản {k} Điều 4 Thông tư số {n}/2018/TT-BYT.", "dinh_chinh", (("khoan_*_dieu_4", "/2018/TT-BYT"),)),
+    ("Ngưng hiệu lực Điều {k} Nghị định số {n}/2017/NĐ-CP.", "ngung_hieu_luc", (("dieu_*", "/2017/NĐ-CP"),)),
+    ("Kéo dài thời hạn áp dụng Nghị quyết số {n}/2016/NQ-HĐND.", "keo_dai_hieu_luc", (("", "/2016/NQ-HĐND"),)),
+    ("Thực hiện theo quy định tại điểm a khoản {k} Điều 12 Nghị định số {n}/2015/NĐ-CP.", "dan_chieu", (("diem_a_khoan_*_dieu_12", "/2015/NĐ-CP"),)),
+    ("Đình chỉ thi hành Quyết định số {n}/2014/QĐ-UBND.", "dinh_chi", (("", "/2014/QĐ-UBND"),)),
+    ("Người nộp bổ sung hồ sơ, kinh phí; hủy bỏ chứng chỉ {n}.", "", ()),
+    ("Bổ sung dự án Luật Đất đai vào chương trình lập pháp năm {n}.", "", ()),
+    ("Sửa đổi, bổ sung điểm a khoản {k} Điều 3 Nghị định số {n}/2020/NĐ-CP (đã được sửa đổi theo Nghị định số 5/2020/NĐ-CP) như sau:", "sua_doi_bo_sung", (("diem_a_khoan_*_dieu_3", "/2020/NĐ-CP"),)),
+)
+
+
+def _template_sql() -> str:
+    rows = [(k, r, key, end) for k, (_, r, found) in enumerate(TEMPLATES) for key, end in found]
+    more = [(1, "bai_bo", "khoan_*_dieu_5", "/2019/TT-BTC")]  # the list's other value
+    values = ", ".join(f"({k}, '{r}', '{key}', '{end}')" for k, r, key, end in rows + more)
+    return f"""WITH t(i, relation, key, ending) AS (VALUES {values}), o AS (SELECT o_orderkey, o_orderkey % {len(TEMPLATES)} AS i, o_custkey % 7 + 1 AS k, o_orderkey % 900 + 10 AS n FROM orders)
+SELECT o_orderkey, relation, replace(key, '*', CAST(k AS VARCHAR)) AS key, n || ending AS number FROM o JOIN t USING (i)
+UNION ALL SELECT o_orderkey, 'huy_bo', '', k || '/2001/QĐ-UBND' FROM o WHERE i = 3"""
+
+
+@query(_template_sql())
+def legal_targets(spark: SparkSession, d: str) -> DataFrame:
+    """What the clause rules find in the templates, one for each order."""
+    from weftline.operators import extract
+
+    says = F.get(F.array(*[F.lit(t) for t, _, _ in TEMPLATES]), (F.col("o_orderkey") % len(TEMPLATES)).cast("int"))
+    k, n = ((F.col("o_custkey") % 7) + 1).cast("string"), ((F.col("o_orderkey") % 900) + 10).cast("string")
+    text = F.replace(F.replace(says, F.lit("{k}"), k), F.lit("{n}"), n)
+    clauses = read(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit("dieu_1").alias("com_key"), text.alias("text"), F.lit(None).cast("string").alias("parent_text"))
+    found = extract.decided(extract.matched(extract.cleaned(clauses)))
+    own = F.coalesce("own", F.lit(False))
+    return found.where(~own).select(F.col("doc_id").alias("o_orderkey"), "relation", "key", "number")
