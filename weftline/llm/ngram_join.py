@@ -11,7 +11,7 @@
    and of the third order meet as well, and the counts of shingles in BINS classes are not too far apart (sets differ in at least as
    many shingles as the counts do, so this loses nothing).
 4. Verification counts the overlap of the whole sets. Links are joined to components.
-5. Groups whose nodes are in several components still get further hubs, ROUNDS times. What is left then is compared exactly, only between
+5. Groups whose nodes are in several components still get further hubs, ROUNDS times, as long as that closes half of them. What is left then is compared exactly, only between
    different components. Small groups, mostly dissimilar nodes that share a rare shingle, go by the same filters as before. Of large ones, those with at most BLOCK nodes outside
    their main component are compared in blocks of BLOCK nodes, whose whole sets are searched and which give back only links that join
    components; a node is sent twice at most. The others are divided by the shingles of the second order, and what is still so by
@@ -34,6 +34,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -456,8 +457,8 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: dict[int, bytes], r
         return stored(known.join(still.select("g", "size"), "g"), "open_groups")
 
     def new_pairs(pairs: DataFrame) -> DataFrame:
-        for t in tried:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        if tried:
+            pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["a", "b"], "left_anti")
         tried.append(stored(pairs, "pairs"))
         return tried[-1]
 
@@ -483,12 +484,16 @@ def similar_nodes(docs: DataFrame, of_doc: DataFrame, level: dict[int, bytes], r
         pairs = new_pairs(_small_candidates(small, prefix, rule))
         return comp if pairs.isEmpty() else merged(verified(in_all_orders(pairs)))
 
+    before = 0
     for k in range(rounds):
         # A group of two has met already.
         left = open_groups(members, 3 if k else 2)
-        if left.isEmpty():
+        size = left.count()
+        # Hubs are a short way only. Where they close less than half of what is open, the exact comparison below has it sooner.
+        if not size or 2 * size > before > 0:
             discard(left)
             break
+        before = size
         if k == 0:
             met = left.where("g <> node").select(F.least("g", "node").alias("a"), F.greatest("g", "node").alias("b")).distinct()
         else:
