@@ -79,7 +79,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _HOST = r"coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
 _PATH = r"coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '')"
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS3 = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+_WORDS9 = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), [])"
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS3} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, w FROM (SELECT DISTINCT item_id, text, {_WORDS3} AS w FROM benchmark)),
+s AS (SELECT i, item_id, s, w[s + 1 : s + 13] AS win FROM (SELECT *, unnest(range(0, greatest(len(w) - 13, 0) + 1)) AS s FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT len(win) AS l FROM s),
+dw AS (SELECT r, pos, l, array_to_string(w[pos : pos + l - 1], ' ') AS k FROM (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS pos FROM d, lens WHERE len(w) >= l)),
+m AS (SELECT DISTINCT r, pos, l, item_id FROM dw JOIN (SELECT DISTINCT item_id, len(win) AS l, array_to_string(win, ' ') AS k FROM s) USING (l, k)),
+hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(pos, pos + l)) AS p FROM m) GROUP BY r),
+ids AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (item_id IS NOT NULL)) AS ids FROM m GROUP BY r),
+p AS (SELECT r, t, pos FROM (SELECT r, unnest(w) AS t, generate_subscripts(w, 1) AS pos FROM d)),
+sw AS (SELECT i, s, t, k, coalesce(n, 0) AS n FROM (SELECT i, s, unnest(win) AS t, generate_subscripts(win, 1) AS k FROM s) LEFT JOIN (SELECT t, count(*) AS n FROM p GROUP BY t) USING (t)),
+rare AS (SELECT i, s, arg_min(t, (n, k)) AS t, count(DISTINCT t) AS need FROM sw GROUP BY i, s HAVING min(n) > 0),
+c AS (SELECT i, s, need, r, pos AS c FROM rare JOIN p USING (t)),
+near AS (SELECT r, count(DISTINCT i) AS n FROM (
+  SELECT c.r, c.i FROM c JOIN (SELECT DISTINCT i, s, t FROM sw) q ON q.i = c.i AND q.s = c.s JOIN p ON p.r = c.r AND p.t = q.t AND abs(p.pos - c.c) <= {decontaminate.REACH}
+  GROUP BY c.r, c.i, c.s, c.c, c.need HAVING count(DISTINCT q.t) = c.need) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(len(ids), 0) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated, coalesce(near.n, 0) AS n_near
+FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r) LEFT JOIN near USING (r)""",
+    "op9_ngram_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS9} AS w FROM documents),
+g AS (SELECT DISTINCT r, array_to_string(w[k : k + 3], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+e AS (SELECT a.r AS a, b.r AS b FROM g a JOIN g b ON a.g = b.g AND a.r < b.r JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, coalesce(min(o.doc_id), d.doc_id) AS component_id FROM d LEFT JOIN n USING (r) JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b GROUP BY d.r, d.doc_id""",
     "op1_url_filters": f"""
 WITH p AS (SELECT page_id, {_HOST} AS host, {_PATH} AS path FROM pages),
 r AS (
