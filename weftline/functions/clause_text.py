@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, replace
-from functools import cache
+from functools import cache, lru_cache
 
 from weftline.functions import rules
 from weftline.functions.fixed import POINT_LETTERS
@@ -86,8 +86,9 @@ def _embedded(text: str, at: int) -> bool:
     return text[at] == "." and 0 < at < len(text) - 1 and text[at + 1].isdigit() and (text[at - 1].isalnum())
 
 
+@lru_cache(maxsize=8)
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Ranges between full stops, semicolons and line ends; blank ones are left out."""
+    """Ranges between full stops, semicolons and line ends; blank ones are left out. The rules of one text ask for them several times."""
     out, start = [], 0
     for at in [*(m.start() for m in re.finditer(r"[.;\n]", text)), len(text)]:
         if at < len(text) and _embedded(text, at):
@@ -103,6 +104,7 @@ _BRACKETS = re.compile(r"\([^()]*\)")
 _PROVENANCE = re.compile(_any(rules.PROVENANCE_WORDS), re.IGNORECASE)
 
 
+@lru_cache(maxsize=8)
 def masked(text: str) -> str:
     """The text with blanks in place of bracketed notes of history; as long as before."""
     if "(" not in text:

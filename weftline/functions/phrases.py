@@ -42,9 +42,9 @@ class Words:
 
     def first(self, lo: int, hi: int, sought: tuple[Phrase, ...]) -> tuple[int, int] | None:
         """First and next word of the first place in words lo to hi with one of sought whole."""
-        for k in range(lo, hi):
-            end = self.here(k, sought)
-            if end is not None and end <= hi:
+        heads = {p[0] for p in sought}
+        for k, word in enumerate(self.words[lo:hi], lo):
+            if word in heads and (end := self.here(k, sought)) is not None and end <= hi:
                 return k, end
         return None
 
