@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that is unset (tests)."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir; a local one only where that is unset and the master is local."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not hasattr(spark.sparkContext, "_weftline_folder"):
         spark.sparkContext._weftline_folder = "file://" + tempfile.mkdtemp(prefix="weftline-")
     return spark.sparkContext._weftline_folder
