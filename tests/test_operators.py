@@ -248,3 +248,36 @@ def test_writer_on_awkward_edges(spark):
     left, rest = writer.without_documents(nodes.selectExpr("concat('x#', node) AS node"), edges.selectExpr("concat('x#', head) AS head", "tail"), spark.createDataFrame([("a",), (None,)], "doc_id string"))
     assert {r.node for r in left.collect()} == {"x#b"} and {r["tail"] for r in rest.collect()} == {"a"} - {"a"}
     assert writer.without_containment(spark.createDataFrame([("a", "bao_gom"), ("b", "bai_bo")], "head string, rel_type string")).count() == 1
+
+
+def shuffled_records(spark):
+    """Records that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {(s.stageId(), s.attemptId()): s.shuffleWriteRecords() for s in (stages.apply(k) for k in range(stages.size()))}
+
+
+def test_like_titles_make_no_square_of_pairs(spark):
+    common = [f"w{k}" for k in range(10)]
+    like = [(f"like{k}", [*common, f"x{k}", f"y{k}"]) for k in range(1000)]
+    others = [("p1", ["a", "b", "c", "d", "e"]), ("p2", ["a", "b", "c", "d", "f"]), ("q1", ["g", "h", "i"]), ("q2", ["i", "h", "g"]), ("q3", ["g", "h", "i"]), ("lone", ["z"])]
+    edge = [("edge", [*(f"x{k}" for k in range(3, 9)), "m1", "m2"]), ("edge2", [*(f"x{k}" for k in range(3, 9)), "m3", "m4"])]
+    a = spark.createDataFrame(like + others + edge, "id string, toks array<string>")
+    b = a.select(F.col("id").alias("found"), F.col("toks").alias("found_toks"))
+    before = shuffled_records(spark)
+    got = rows(lookup.fuzzy_unique(a, b, "toks", "found_toks", "id", "found", 0.6, proper=True))
+    assert got == [("edge", "edge2"), ("edge2", "edge"), ("p1", "p2"), ("p2", "p1")]
+    written = sum(n for k, n in shuffled_records(spark).items() if k not in before)
+    assert 0 < written < 200_000, written
+
+
+def test_a_title_is_found_among_many_that_share_its_token(spark):
+    """The only fitting title may be in any part of a token's titles."""
+    many = [(f"t{k:04}", ["s", f"a{k}", f"b{k}", f"c{k}"]) for k in range(2500)]
+    titles = spark.createDataFrame(many, "found string, found_toks array<string>")
+    refs = spark.createDataFrame([(k, ["s", f"a{k}"]) for k in range(0, 2500, 250)] + [(-1, ["s", "a1", "b1", "c1"])], "id int, toks array<string>")
+    got = rows(lookup.fuzzy_unique(refs, titles, "toks", "found_toks", "id", "found", 0.5))
+    assert got == sorted([(k, f"t{k:04}") for k in range(0, 2500, 250)] + [(-1, "t0001")], key=repr)
+    every = rows(lookup.fuzzy_unique(refs.limit(0), titles, "toks", "found_toks", "id", "found", 0.5))
+    assert every == []
