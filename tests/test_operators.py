@@ -281,3 +281,16 @@ def test_a_title_is_found_among_many_that_share_its_token(spark):
     assert got == sorted([(k, f"t{k:04}") for k in range(0, 2500, 250)] + [(-1, "t0001")], key=repr)
     every = rows(lookup.fuzzy_unique(refs.limit(0), titles, "toks", "found_toks", "id", "found", 0.5))
     assert every == []
+
+
+def test_equal_clauses_come_to_one_partition(spark):
+    """So the rules run once for a text that many documents have; each document keeps its matches."""
+    from weftline.functions import clause_text
+
+    said = ["Bãi bỏ khoản 2 Điều 5 Nghị định số 15/2019/NĐ-CP.", "Bãi bỏ khoản 3 Điều 5 Nghị định số 16/2019/NĐ-CP.", "Không có gì."]
+    clauses = spark.createDataFrame([(d, "dieu_1", said[d % 3]) for d in range(300)], "doc_id long, com_key string, text string")
+    ready = extract.cleaned(clauses).withColumn("parent_text", F.lit(None).cast("string"))
+    assert ready.select("text", F.spark_partition_id()).distinct().count() == 3
+    got = rows(extract.matched(ready).select("doc_id", "com_key", "relation", "key", "number"))
+    assert got == sorted(((d, "dieu_1", "bai_bo", f"khoan_{d % 3 + 2}_dieu_5", f"{d % 3 + 15}/2019/NĐ-CP") for d in range(300) if d % 3 < 2), key=repr)
+    assert clause_text.cues(said[0]) == clause_text.cues(said[1])

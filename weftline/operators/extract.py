@@ -28,50 +28,65 @@ def with_parents(clauses: DataFrame) -> DataFrame:
 
 
 def cleaned(clauses: DataFrame) -> DataFrame:
-    """Clauses whose text is left after markup and reasons are gone, each text of a key once.
+    """Clauses whose text is left after markup and reasons are gone, each text of a key once. Equal ones of all documents come to one partition, where
+    the rules are run once for all of them.
 
     The number of partitions is set, since what follows costs CPU by clause and should not be packed into few tasks by size."""
     text = drop_reasons(clean_markup(F.col("text")))
     parts = int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["doc_id", "com_key", "text"]
-    return clauses.withColumn("text", text).where("text <> ''").repartition(parts, *keys).dropDuplicates(keys)
+    return clauses.withColumn("text", text).where("text <> ''").repartition(parts, "com_key", "text").dropDuplicates(keys)
 
 
 def matched(clauses: DataFrame) -> DataFrame:
     """A row for each cue and mention that it takes: doc_id, com_key, relation, the cue, whether it is the parent's, the mention.
 
     A clause without a cue of its own takes the last forward one of a parent that ends with a colon; mentions without a document
-    take the parent's last one. clauses has doc_id, com_key, text and parent_text."""
-    names = ["doc_id", "com_key", *[n for n, _ in _FIELDS], *[n for n, _ in _REF_FIELDS]]
+    take the parent's last one. clauses has doc_id, com_key, text and parent_text. Equal clauses of a partition are put one after the other, and what
+    they say is worked out once."""
+    fields = [*_FIELDS, *_REF_FIELDS]
+    names = ["doc_id", "com_key", *[n for n, _ in fields]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from weftline.functions import clause_text as C
 
-        kinds = None
+        def told(key: str | None, text: str, up: str | None) -> list[tuple]:
+            pairs = [(c, m, False) for c, m in C.matches(text, key or "")]
+            if up:
+                acts = [c for c in C.cues(up) if c.reason is None and not c.backward]
+                above = [m for m in C.mentions(up) if m.doc_type and not m.own]
+                if not pairs and acts and up.rstrip().endswith(":"):
+                    pairs = [(acts[-1], m, True) for m in C.mentions(text, key or "")]
+                if above:
+                    d = above[-1]
+                    pairs = [(c, C.replace(m, doc_type=d.doc_type, number=d.number, date=d.date, title=d.title) if m.doc_type is None and not m.own else m, i) for c, m, i in pairs]
+            return [
+                (c.relation, c.text, *((-1, -1) if i else (c.start, c.stop)), i, m.start, m.stop, m.point, m.clause, m.article, m.key, m.doc_type, m.number, m.date, m.title, m.own) for c, m, i in pairs
+            ]
+
+        last, said = None, []
         for batch in batches:
-            kinds = [batch.schema.field("doc_id").type, pa.string(), *[t for _, t in _FIELDS], *[t for _, t in _REF_FIELDS]]
-            out = []
-            for doc, key, text, up in zip(*(batch[k].to_pylist() for k in ("doc_id", "com_key", "text", "parent_text")), strict=True):
-                if not text:
+            rows, out, places = [], [], []  # of each match its clause's row; what the texts say; of each match its place in that
+            first = None
+            for k, clause in enumerate(zip(*(batch[c].to_pylist() for c in ("com_key", "text", "parent_text")), strict=True)):
+                if not clause[1]:
                     continue
-                pairs = [(c, m, False) for c, m in C.matches(text, key or "")]
-                if up:
-                    acts = [c for c in C.cues(up) if c.reason is None and not c.backward]
-                    above = [m for m in C.mentions(up) if m.doc_type and not m.own]
-                    if not pairs and acts and up.rstrip().endswith(":"):
-                        pairs = [(acts[-1], m, True) for m in C.mentions(text, key or "")]
-                    if above:
-                        d = above[-1]
-                        pairs = [(c, C.replace(m, doc_type=d.doc_type, number=d.number, date=d.date, title=d.title) if m.doc_type is None and not m.own else m, i) for c, m, i in pairs]
-                for c, m, i in pairs:
-                    at = (-1, -1) if i else (c.start, c.stop)
-                    out.append((doc, key, c.relation, c.text, *at, i, m.start, m.stop, m.point, m.clause, m.article, m.key, m.doc_type, m.number, m.date, m.title, m.own))
-            columns = list(zip(*out, strict=True)) or [[]] * len(names)
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+                if clause != last:
+                    last, said, first = clause, told(*clause), None
+                if first is None:
+                    first = len(out)
+                    out += said
+                rows += [k] * len(said)
+                places += range(first, first + len(said))
+            columns = list(zip(*out, strict=True)) or [[]] * len(fields)
+            texts = pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields]).take(pa.array(places, pa.int64()))
+            own = [batch[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "com_key")]
+            yield pa.record_batch([*own, *texts.columns], names)
 
     doc_kind = clauses.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {doc_kind}, com_key string, relation string, cue string, cue_start int, cue_stop int, inherited boolean, ref_start int, ref_stop int, {_REF}"
-    return clauses.select("doc_id", "com_key", "text", "parent_text").mapInArrow(run, schema)
+    each = clauses.select("doc_id", F.col("com_key").cast("string"), "text", "parent_text")
+    return each.sortWithinPartitions(F.xxhash64("com_key", "text", "parent_text")).mapInArrow(run, schema)
 
 
 def allowed(found: DataFrame, sources: DataFrame) -> DataFrame:

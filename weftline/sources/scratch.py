@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that deletes a query's shuffle files when it ends.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a local one only where that is unset and the master is local."""
@@ -22,7 +25,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table: what is read several times is worked out once, and lineage ends there."""
-    path = f"{scratch_root(df.sparkSession)}/weftline/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a Parquet table: what is read several times is worked out once, lineage ends there, and the step's shuffle files go when it ends."""
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/weftline/{uuid.uuid4().hex}/{name}"
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
