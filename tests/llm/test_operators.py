@@ -7,12 +7,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.conftest import prose, texts
-from weftline.llm import best_fit, decontaminate, html_extract, license_scan, line_dedup, ngram_join, quality_rules, sharding, token_counts, url_filters
+from weftline.llm import best_fit, decontaminate, encoding, html_extract, license_scan, line_dedup, ngram_join, quality_rules, sharding, token_counts, url_filters
 from weftline.llm.components import components
 from weftline.llm.encoding import Encoder, vocabulary_path
 
@@ -381,6 +382,46 @@ def test_encoder(text):
         assert _enc.encode(t) == np.array(_tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+class Counted:
+    """Passes calls on and counts them."""
+
+    def __init__(self, inner):
+        self.inner, self.calls = inner, 0
+
+    def __call__(self, *args):
+        self.calls += 1
+        return self.inner(*args)
+
+    def __getattr__(self, name):
+        self.calls += 1
+        return getattr(self.inner, name)
+
+
+def test_encoder_merges_many_words_in_a_call(tokenizer):
+    # Different words, a third of them with signs: as many calls as words cost 404 CPU seconds a GB.
+    words = [f"{'aeiouy'[k % 6]}{k:b}".translate(str.maketrans("01", ("né", "ne")[k % 2])) + ("", ".", "!%")[k % 3] for k in range(1, 4001)]
+    enc = Encoder(vocabulary_path())
+    enc.tokenizer, enc.merges = Counted(enc.tokenizer), Counted(enc.merges)
+    got = enc.encode(" ".join(words))
+    assert enc.tokenizer.calls + enc.merges.calls <= 10
+    assert got == np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+CUTS = ["a's b'sab! c!'s 'll12'd3x", "É.é,(à)×÷ß=\u0338 e\u0301.f 1\u0301 12½", "<", "|x <|endoftext|>Ab.C", "x" * 300, "", " \n", None, "\x00a\x1cb\u00a0c\u2003d_1"]
+
+
+@pytest.mark.parametrize(("texts_", "cache"), [(1, 1), (60, 200), (1 << 20, 1 << 20)])
+def test_encoded_batches(monkeypatch, tokenizer, texts_, cache):
+    monkeypatch.setattr(encoding, "TEXTS", texts_)
+    monkeypatch.setattr(encoding, "CACHE", cache)
+    every = [*CUTS, *ODD, *(prose(k, 1 + k % 9) for k in range(40)), *CUTS]
+    batches = [pa.record_batch([pa.array(every[k : k + 7], pa.string())], ["text"]) for k in range(0, len(every), 7)]
+    done = encoding.encoded(iter([*batches[:2], batches[0].slice(0, 0), *batches[2:]]), vocabulary_path())
+    got = [pair for batch, ids in done for pair in zip(batch["text"].to_pylist(), ids, strict=True)]
+    assert got == [(t, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes()) for t in every]
+    assert not len(encoding.encoder(vocabulary_path()).known)
+
+
 def check_packing(got, documents, limit, tokenizer):
     want = collections.Counter()
     for i, t in documents:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import arrow_batches, give_back, stored
-from weftline.llm.encoding import encoder, vocabulary_path
+from weftline.llm.encoding import encoded, vocabulary_path
 
 LIMIT = 4096
 END_ID = 1
@@ -47,18 +47,16 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in batches:
+        for batch, texts in encoded(batches, path):
             out = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = enc.encode(text.as_py() or "") + end
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts, strict=True):
+                ids = text + end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at : at + 4 * limit]
                     out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
-        enc.forget()
         give_back()
 
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import give_back, stored
-from weftline.llm.encoding import encoder, vocabulary_path
+from weftline.llm.encoding import encoded, vocabulary_path
 
 BLOCK = 256
 
@@ -26,11 +26,9 @@ def lengths(docs: DataFrame, path: str, end_tokens: int = 0) -> DataFrame:
     """n_tokens of each row of docs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in batches:
-            found = [len(enc.encode(x.as_py() or "")) // 4 + end_tokens for x in batch["text"]]
+        for _, texts in encoded(batches, path):
+            found = [len(ids) // 4 + end_tokens for ids in texts]
             yield pa.record_batch([pa.array(found, pa.int64())], ["n_tokens"])
-        enc.forget()
         give_back()
 
     return docs.select("text").mapInArrow(count, "n_tokens long")
