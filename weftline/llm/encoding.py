@@ -21,8 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE = 48 << 20
-#: Bytes of texts that are encoded at once: more share their pieces, fewer need less memory (about 20 times as much).
-TEXTS = 4 << 20
+#: Bytes of texts that are encoded at once, or up to twice as many: more share their pieces, fewer need less memory (some 10 times as much).
+TEXTS = 2 << 20
 #: Words that are merged in one call.
 WORDS = 500
 
