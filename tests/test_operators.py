@@ -294,3 +294,28 @@ def test_equal_clauses_come_to_one_partition(spark):
     got = rows(extract.matched(ready).select("doc_id", "com_key", "relation", "key", "number"))
     assert got == sorted(((d, "dieu_1", "bai_bo", f"khoan_{d % 3 + 2}_dieu_5", f"{d % 3 + 15}/2019/NĐ-CP") for d in range(300) if d % 3 < 2), key=repr)
     assert clause_text.cues(said[0]) == clause_text.cues(said[1])
+
+
+def test_rows_of_one_source_number_stay_apart(spark):
+    """The policy sends no row to a task by its numbers, though all documents have the same one."""
+    df = spark.range(4000, numPartitions=4).selectExpr("'bai_bo' AS rel", "'20/2021/NĐ-CP' AS s", "if(id % 2 = 0, '5/2019/NĐ-CP', '3/2014/QH13') AS t", "CAST(null AS string) AS kind")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        judged = authority.with_policy(df, "rel", "s", "t", "kind").withColumn("part", F.spark_partition_id())
+        assert rows(judged.groupBy("t", "dropped").agg(F.count("*"), F.count_distinct("part"))) == [("3/2014/QH13", True, 2000, 4), ("5/2019/NĐ-CP", False, 2000, 4)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_clean_texts_are_left_as_they_are(spark):
+    """The signs that call for cleaning are all that cleaning changes."""
+    from weftline.functions.text import clean_markup, drop_reasons
+
+    clean = ["a b", "\u00a0a", "a\u2028b", "a./b", "(a)", "Lý lẽ. b"]
+    said = [*clean, " a", "a ", "a  b", "a\tb", "a\nb", "a\x0bb", "a\r\nb", "a \u0085", "a [1] b", "[TABLE] a", "a <TABLE>x</table> b", "a ./. b", "Lý do b. c", "a. Lý do bãi bỏ", " ", ""]
+    df = spark.createDataFrame([(k, "dieu_1", t) for k, t in enumerate(said)], "doc_id long, com_key string, text string")
+    want = df.withColumn("text", drop_reasons(clean_markup(F.col("text")))).where("text <> ''")
+    assert rows(extract.cleaned(df)) == rows(want)
+    left = df.where(~F.col("text").rlike(extract._UNCLEAN)).collect()
+    assert {r.text for r in left} == {*clean, ""}

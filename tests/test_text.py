@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import itertools
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from weftline.functions import clause_text, match_filters
 from weftline.functions import text as X
 from weftline.functions.clause_text import cues, longest_first, matches, mentions, range_values, sentences
 
@@ -164,3 +167,24 @@ def test_numbers_and_bodies(spark):
     cases = {"15/2020/NĐ-CP": ("nghidinh", 100), "45/2019/QH14": ("luat", 130), "5/2020/UBTVQH14": ("phaplenh", 120), "12/2015/TTLT-BTC-BCA": ("thongtulientich", 80), "7/2021/QĐ-UBND": ("quyetdinh", 50), "3/QĐ-TTg": ("quyetdinh", 90), "9/2020/NQ-HĐND": ("nghiquyet", 60), "4/2020/TT-BXYZ": ("thongtu", 80), "x": (None, None)}
     rows = spark.createDataFrame([(k,) for k in cases], "number string").select("number", A.type_of(F.col("number")).alias("t"), A.rank_of(F.col("number")).alias("r")).collect()
     assert {x.number: (x.t, x.r) for x in rows} == cases
+
+
+def test_texts_that_differ_in_digits_only_are_judged_once(monkeypatch):
+    """Cues, filters and scopes are found once; values, numbers, dates and titles are each text's own."""
+    said = [
+        "Bãi bỏ khoản {} Điều {} Nghị định số {}/2019/NĐ-CP.",
+        "Thực hiện theo quy định tại khoản {}, {} và {}a Điều 7 Thông tư số 8/2019/TT-BTC.",
+        "Bãi bỏ từ khoản {} đến khoản {} Điều {} Luật Đất đai năm 2013.",
+        "Sửa đổi, bổ sung Điều này; bãi bỏ Điều {} và {} Nghị định số {}/2020/NĐ-CP (được sửa đổi theo Nghị định số 1/2019/NĐ-CP).",
+        "Sửa đổi, bổ sung Nghị định số {}/2019/NĐ-CP như sau: bãi bỏ, sửa đổi khoản 1 Điều 2 Nghị định số {}/2019/NĐ-CP, Nghị định số {}/2019/NĐ-CP.",
+        "Kéo dài hiệu lực Nghị quyết số {}/2019/QH14, sửa đổi, bổ sung một số điều của Nghị quyết số {}/2019/QH14 và Nghị quyết số {}/2019/QH14",
+    ]
+    texts = [s.format(*v) for s in said for v in itertools.product("135", repeat=3)]
+    for text in texts:
+        plain = clause_text.masked(text)
+        refs = list(dict.fromkeys(clause_text._mentions(plain, "khoan_2_dieu_4")))
+        assert clause_text.matches(text, "khoan_2_dieu_4") == clause_text._judged(plain, clause_text._reached(plain, refs))
+    tried = []
+    monkeypatch.setattr(match_filters, "filtered", lambda text, cue, got: tried.append(text) or got)
+    got = [[(m.key, m.number) for _, m in clause_text.matches(f"Bãi bỏ điểm b khoản {k} Điều 5 Nghị định số {k + 1}/2018/NĐ-CP.")] for k in range(1, 9)]
+    assert got == [[(f"diem_b_khoan_{k}_dieu_5", f"{k + 1}/2018/NĐ-CP")] for k in range(1, 9)] and len(tried) == 1

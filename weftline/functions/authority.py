@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.fixed import LOWER_TO_UPPER_RESTRICTED, UPPER_TO_LOWER_RESTRICTED
 from weftline.functions.text import fold_accents
+from weftline.sources.scratch import stored
 
 # --- fixed values ---
 
@@ -44,6 +45,9 @@ LOCAL_TO_CENTRAL_RESTRICTED = (
     "sua_doi_bo_sung", "thay_the", "bai_bo", "huy_bo", "quy_dinh_chi_tiet", "huong_dan", "ngung_hieu_luc", "dinh_chi", "dinh_chinh", "keo_dai_hieu_luc",
 )
 
+#: What is known of numbers is broadcast up to so many bytes, else both sides are shuffled.
+BROADCAST_BYTES = 64 << 20
+
 # --- end of fixed values ---
 
 
@@ -114,20 +118,20 @@ def _yes(c: Column) -> Column:
 
 
 def described(numbers: DataFrame) -> DataFrame:
-    """number, own_type, rank, year, family of distinct numbers (column number)."""
+    """number, own_type, rank, year, family, local and said (not blank) of distinct numbers (column number)."""
     n = F.col("number")
     return (
         numbers.select("number")
         .where("number IS NOT NULL")
         .distinct()
-        .select("number", type_of(n).alias("own_type"), rank_of(n).alias("rank"), year_of(n).alias("year"), family_of(n).alias("family"))
+        .select("number", type_of(n).alias("own_type"), rank_of(n).alias("rank"), year_of(n).alias("year"), family_of(n).alias("family"), is_local(n).alias("local"), n.rlike(r"\S").alias("said"))
     )
 
 
 def with_info(df: DataFrame, info: DataFrame, number: str, kind: str | None, prefix: str) -> DataFrame:
-    """df with what described() tells of a number, under names with prefix: type (else kind's), rank, type_rank, normative, family."""
+    """df with what described() tells of a number, under names with prefix: type (else kind's), rank, type_rank, normative, family, local, said."""
     p = lambda n: f"{prefix}_{n}"
-    named = info.select(F.col("number").alias(p("number")), *[F.col(c).alias(p(c)) for c in ("own_type", "rank", "year", "family")])
+    named = info.select(F.col("number").alias(p("number")), *[F.col(c).alias(p(c)) for c in ("own_type", "rank", "year", "family", "local", "said")])
     joined = df.join(named, F.col(number) == F.col(p("number")), "left")
     typed = joined.withColumn(p("type"), F.col(p("own_type")) if kind is None else F.coalesce(p("own_type"), kind))
     kind_ = F.col(p("type"))
@@ -147,21 +151,50 @@ def way(s: str, t: str) -> Column:
     return F.coalesce(by_body, by_type, across, by_kind)
 
 
-def with_policy(df: DataFrame, relation: str, source: str, target: str, target_type: str) -> DataFrame:
+def _small(df: DataFrame, size: Column) -> DataFrame:
+    """A stored table, broadcast where it is used if it is not too large for that."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
+def with_policy(df: DataFrame, relation: str, source: str, target: str, target_type: str, sources: DataFrame | None = None, targets: DataFrame | None = None) -> DataFrame:
     """df with dropped: whether rank and kind of the two documents rule the relation out. Without a source number, or anything known of
-    the target, nothing is ruled out."""
-    own = list(df.columns)
-    info = described(df.select(F.col(source).alias("number")).unionByName(df.select(F.col(target).alias("number"))))
-    d = with_info(with_info(df, info, source, None, "_s"), info, target, target_type, "_t").withColumn("_way", way("_s", "_t"))
-    rel, c = F.col(relation), F.col
-    strong, guides = rel.isin(*STRONG_ACTIONS), rel.isin(*GUIDANCE)
-    mixed = strong & ((_yes(c("_s_type").isin(*ADMINISTRATIVE)) & c("_t_normative")) | (c("_s_normative") & _yes(c("_t_type").isin(*ADMINISTRATIVE))))
-    same_body = strong & _yes(c("_t_type") == "quyetdinh") & _yes(c("_s_family") == c("_t_family"))
-    same_rank = strong & _yes(c("_s_type").isin(*RESOLUTIONS)) & _yes(c("_t_type") == "nghidinh") & _yes(c("_s_rank") == c("_t_rank"))
+    the target, nothing is ruled out. sources (column of source numbers) and targets (relation, target and type) have all that df has, if that is
+    known without df.
+
+    What hangs on a source, or on a relation and target, is worked out once for each and stored. Small tables are broadcast, so that rows of a number that
+    very many have stay where they are; and the expression that is left for each row is so short that the JVM compiles it."""
+    own, c = list(df.columns), F.col
+    heads = (df if sources is None else sources).select(c(source).alias("number")).distinct()
+    cases = (df if targets is None else targets).select(c(relation).alias("_rel"), c(target).alias("_target"), c(target_type).alias("_kind")).distinct()
+    cases = stored(cases, "targets")
+    info = stored(described(heads.unionByName(cases.select(c("_target").alias("number")))), "numbers")
+    info = _small(info, F.octet_length("number") + 128)
+
+    heads = with_info(heads.where("number IS NOT NULL"), info, "number", None, "_s").withColumn("_s_adm", _yes(c("_s_type").isin(*ADMINISTRATIVE)))
+    heads = _small(stored(heads.withColumnRenamed("number", "_source"), "sources"), F.octet_length("_source") + 128)
+    rel = c("_rel")
+    cases = with_info(cases, info, "_target", "_kind", "_t")
+    cases = cases.withColumns(
+        {
+            "_strong": rel.isin(*STRONG_ACTIONS),
+            "_guides": rel.isin(*GUIDANCE),
+            "_ways": F.concat_ws(" ", F.when(rel.isin(*UPPER_TO_LOWER_RESTRICTED), "source_higher"), F.when(rel.isin(*LOWER_TO_UPPER_RESTRICTED), "source_lower")),
+            "_upward": ~_yes(c("_t_local")) & c("_target").isNotNull() & rel.isin(*LOCAL_TO_CENTRAL_RESTRICTED),
+            "_t_adm": _yes(c("_t_type").isin(*ADMINISTRATIVE)),
+            "_t_given": c("_target").isNotNull() | c("_kind").isNotNull(),
+        }
+    ).drop("_t_local", "_t_said")
+    cases = _small(stored(cases, "cases"), F.coalesce(F.octet_length("_target"), F.lit(0)) + 256)
+
+    same = c(relation).eqNullSafe(c("_rel")) & c(target).eqNullSafe(c("_target")) & c(target_type).eqNullSafe(c("_kind"))
+    d = df.join(heads, c(source) == c("_source"), "left").join(cases, same, "left")
+    for name in ("_s_adm", "_s_normative", "_s_local", "_s_said"):
+        d = d.withColumn(name, _yes(c(name)))
+    mixed = c("_strong") & ((c("_s_adm") & c("_t_normative")) | (c("_s_normative") & c("_t_adm")))
+    same_body = c("_strong") & _yes(c("_t_type") == "quyetdinh") & _yes(c("_s_family") == c("_t_family"))
+    same_rank = c("_strong") & _yes(c("_s_type").isin(*RESOLUTIONS)) & _yes(c("_t_type") == "nghidinh") & _yes(c("_s_rank") == c("_t_rank"))
     level = lambda p: F.coalesce(c(f"{p}_rank"), c(f"{p}_type_rank"))
-    guide = guides & ((c("_s_normative") != c("_t_normative")) | _yes(level("_s") == level("_t")))
-    ranked = F.when(c("_way") == "source_higher", rel.isin(*UPPER_TO_LOWER_RESTRICTED)).when(c("_way") == "source_lower", rel.isin(*LOWER_TO_UPPER_RESTRICTED)).otherwise(False)
-    upward = is_local(c(source)) & ~is_local(c(target)) & c(target).isNotNull() & rel.isin(*LOCAL_TO_CENTRAL_RESTRICTED)
+    guide = c("_guides") & ((c("_s_normative") != c("_t_normative")) | _yes(level("_s") == level("_t")))
+    ranked = _yes(F.contains(c("_ways"), way("_s", "_t")))
     drops = F.when(mixed, True).when(same_body | same_rank, False).when(guide, True).otherwise(ranked)
-    known = F.coalesce(c(source), F.lit("")).rlike(r"\S") & (c(target).isNotNull() | c(target_type).isNotNull())
-    return d.withColumn("dropped", _yes(known & (drops | upward))).select(*own, "dropped")
+    return d.withColumn("dropped", _yes(c("_s_said") & c("_t_given") & (drops | (c("_s_local") & c("_upward"))))).select(*own, "dropped")

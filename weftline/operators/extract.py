@@ -17,6 +17,8 @@ from weftline.sources.scratch import stored
 _REF = "point string, clause string, article string, key string, doc_type string, number string, date string, title string, own boolean"
 _FIELDS = [("relation", pa.string()), ("cue", pa.string()), ("cue_start", pa.int32()), ("cue_stop", pa.int32()), ("inherited", pa.bool_()), ("ref_start", pa.int32()), ("ref_stop", pa.int32())]
 _REF_FIELDS = [(x.split()[0], pa.bool_() if x.endswith("boolean") else pa.string()) for x in _REF.split(", ")]
+#: A text without any of these is clean: signs of tables, footnotes and the end marker, reasons, other blanks than single ones, and more lines than one.
+_UNCLEAN = r"[\[<\t\n\r\x0b\x0c]|\./\.|  |^\s|\s$|Lý do"
 
 
 def with_parents(clauses: DataFrame) -> DataFrame:
@@ -32,7 +34,7 @@ def cleaned(clauses: DataFrame) -> DataFrame:
     the rules are run once for all of them.
 
     The number of partitions is set, since what follows costs CPU by clause and should not be packed into few tasks by size."""
-    text = drop_reasons(clean_markup(F.col("text")))
+    text = F.when(F.col("text").rlike(_UNCLEAN), drop_reasons(clean_markup(F.col("text")))).otherwise(F.col("text"))
     parts = int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["doc_id", "com_key", "text"]
     return clauses.withColumn("text", text).where("text <> ''").repartition(parts, "com_key", "text").dropDuplicates(keys)
@@ -93,9 +95,10 @@ def allowed(found: DataFrame, sources: DataFrame) -> DataFrame:
     """found without relations that the documents' rank rules out; citations stay. sources has doc_id and source_number.
 
     found is stored, since its numbers are looked up apart and the rules along the texts should run once."""
-    known = stored(found, "matches").join(sources.select("doc_id", "source_number"), "doc_id", "left")
+    found = stored(found, "matches")
+    known = found.join(sources.select("doc_id", "source_number"), "doc_id", "left")
     itself = (F.col("number") == F.col("source_number")) & (F.col("relation") != "dan_chieu")
-    judged = with_policy(known, "relation", "source_number", "number", "doc_type")
+    judged = with_policy(known, "relation", "source_number", "number", "doc_type", sources, found)
     return judged.where(~F.col("dropped") & ~F.coalesce(itself, F.lit(False))).drop("dropped")
 
 
