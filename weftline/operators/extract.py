@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.authority import with_policy
@@ -18,7 +19,14 @@ _REF = "point string, clause string, article string, key string, doc_type string
 _FIELDS = [("relation", pa.string()), ("cue", pa.string()), ("cue_start", pa.int32()), ("cue_stop", pa.int32()), ("inherited", pa.bool_()), ("ref_start", pa.int32()), ("ref_stop", pa.int32())]
 _REF_FIELDS = [(x.split()[0], pa.bool_() if x.endswith("boolean") else pa.string()) for x in _REF.split(", ")]
 #: A text without any of these is clean: signs of tables, footnotes and the end marker, reasons, other blanks than single ones, and more lines than one.
-_UNCLEAN = r"[\[<\t\n\r\x0b\x0c]|\./\.|  |^\s|\s$|Lý do"
+_SIGNS = ("[", "<", "./.", "Lý do", "  ", "\t", "\n", "\r", "\x0b", "\x0c")
+_ENDS = (" ", " \u0085", " \u2028", " \u2029")
+
+
+def unclean(text: Column) -> Column:
+    """Whether a text may have something that cleaning changes; plain search costs a quarter of one pattern."""
+    found = [F.contains(text, F.lit(s)) for s in _SIGNS] + [F.startswith(text, F.lit(" "))] + [F.endswith(text, F.lit(s)) for s in _ENDS]
+    return reduce(Column.__or__, found)
 
 
 def with_parents(clauses: DataFrame) -> DataFrame:
@@ -34,7 +42,7 @@ def cleaned(clauses: DataFrame) -> DataFrame:
     the rules are run once for all of them.
 
     The number of partitions is set, since what follows costs CPU by clause and should not be packed into few tasks by size."""
-    text = F.when(F.col("text").rlike(_UNCLEAN), drop_reasons(clean_markup(F.col("text")))).otherwise(F.col("text"))
+    text = F.when(unclean(F.col("text")), drop_reasons(clean_markup(F.col("text")))).otherwise(F.col("text"))
     parts = int(clauses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["doc_id", "com_key", "text"]
     return clauses.withColumn("text", text).where("text <> ''").repartition(parts, "com_key", "text").dropDuplicates(keys)
@@ -50,8 +58,22 @@ def matched(clauses: DataFrame) -> DataFrame:
     names = ["doc_id", "com_key", *[n for n, _ in fields]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow.compute as pc
+
         from weftline.functions import clause_text as C
 
+        def starts(batch: pa.RecordBatch) -> np.ndarray:
+            """The rows whose clause is not that of the row before."""
+            new = np.ones(batch.num_rows, bool)
+            if batch.num_rows > 1:
+                new[1:] = False
+                for c in ("com_key", "text", "parent_text"):
+                    a, b = batch[c].slice(1), batch[c].slice(0, batch.num_rows - 1)
+                    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+                    new[1:] |= ~same.to_numpy(zero_copy_only=False)
+            return np.flatnonzero(new)
+
         def told(key: str | None, text: str, up: str | None) -> list[tuple]:
             pairs = [(c, m, False) for c, m in C.matches(text, key or "")]
             if up:
@@ -68,21 +90,21 @@ def matched(clauses: DataFrame) -> DataFrame:
 
         last, said = None, []
         for batch in batches:
-            rows, out, places = [], [], []  # of each match its clause's row; what the texts say; of each match its place in that
-            first = None
-            for k, clause in enumerate(zip(*(batch[c].to_pylist() for c in ("com_key", "text", "parent_text")), strict=True)):
-                if not clause[1]:
-                    continue
-                if clause != last:
-                    last, said, first = clause, told(*clause), None
-                if first is None:
-                    first = len(out)
+            at, out = starts(batch), []  # where clauses begin that are not those before; what they say
+            first, n = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)  # of each clause its place in that, and the number of its matches
+            for k, clause in enumerate(zip(*(batch[c].take(pa.array(at)).to_pylist() for c in ("com_key", "text", "parent_text")), strict=True)):
+                if clause[1]:
+                    if clause != last:
+                        last, said = clause, told(*clause)
+                    first[k], n[k] = len(out), len(said)
                     out += said
-                rows += [k] * len(said)
-                places += range(first, first + len(said))
+            copies = np.diff(at, append=batch.num_rows)
+            each = np.repeat(n, copies)
+            rows = np.repeat(np.arange(batch.num_rows), each)
+            places = np.repeat(np.repeat(first, copies) - (np.cumsum(each) - each), each) + np.arange(len(rows))
             columns = list(zip(*out, strict=True)) or [[]] * len(fields)
-            texts = pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields]).take(pa.array(places, pa.int64()))
-            own = [batch[c].take(pa.array(rows, pa.int64())) for c in ("doc_id", "com_key")]
+            texts = pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields]).take(pa.array(places))
+            own = [batch[c].take(pa.array(rows)) for c in ("doc_id", "com_key")]
             yield pa.record_batch([*own, *texts.columns], names)
 
     doc_kind = clauses.schema["doc_id"].dataType.simpleString()
